@@ -3,11 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rostra.llm.common import table
+from rostra.llm.common import crc_fold, table
+
+
+def op3_nearest_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rostra.llm.toxicity import fit, with_toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_fold(docs["doc_id"], 3) == 1
+    labels = table(spark, sf_dir, "labels").where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    index = fit(docs, docs.where(~held_out).select("doc_id", "text").join(labels, "doc_id"))
+    scored = with_toxicity(docs.select("doc_id", held_out.alias("held_out"), "text"), index)
+    return scored.select("doc_id", "held_out", "toxicity.score", "toxicity.predicted", F.expr("transform(toxicity.evidence, x -> x.doc_id)").alias("nearest"))
 
 
 def op5_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +33,12 @@ def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_manifest(table(spark, sf_dir, "documents"))
 
 
+def op8_gram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rostra.llm.decontam import benchmark_hits
+
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rostra.llm.simhash import simhash_groups
 
