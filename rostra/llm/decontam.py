@@ -152,21 +152,23 @@ def with_benchmark_hits(docs: DataFrame, benchmark: DataFrame, error: float = 0.
     """
     found = F.array().cast(_HITS)
     for part in _blocks([(r[0], r[1]) for r in benchmark.where("text is not null").select("item_id", "text").toLocalIterator()], block):
-        index = docs.sparkSession.sparkContext.broadcast(part)
-
-        @F.pandas_udf(_HITS)
-        def search(series: Iterator[pd.Series], index=index) -> Iterator[pd.Series]:
-            grams = GramIndex(index.value, error)
-            for texts in series:
-                out: list = []
-                for some in _runs(texts):
-                    out += [[dict(zip(("item_id", "start", "end", "distance"), x)) for x in hits] for hits in grams.scan(some)]
-                yield pd.Series(out, dtype=object)
-
-        found = F.concat(found, search(docs["text"]))
+        found = F.concat(found, _search(docs.sparkSession.sparkContext.broadcast(part), error)(docs["text"]))
     return docs.withColumn(into, found)
 
 
+def _search(items, error: float):
+    @F.pandas_udf(_HITS)
+    def search(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        grams = GramIndex(items.value, error)
+        for texts in series:
+            out: list = []
+            for some in _runs(texts):
+                out += [[dict(zip(("item_id", "start", "end", "distance"), x)) for x in hits] for hits in grams.scan(some)]
+            yield pd.Series(out, dtype=object)
+
+    return search
+
+
 _HITS = "array<struct<item_id:bigint,start:bigint,end:bigint,distance:bigint>>"
 
 

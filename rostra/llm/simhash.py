@@ -140,7 +140,7 @@ def covering_links(points: DataFrame, radius: int = 4, most: int = 4096, rounds:
 
 
 def simhash_groups(docs: DataFrame, keep: list[str] | None = None, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """doc_id (or the columns `keep`), fp, fingerprint, component_id of every row of docs.
+    """doc_id (or the columns `keep`), fingerprint, component_fp, component_id of every row of docs.
 
     Fingerprints that differ in at most `radius` bits link; component_id is the smallest doc_id that links
     reach. Null and empty texts have fingerprint 0 and link like any other; null ids are reached but never
@@ -153,5 +153,24 @@ def simhash_groups(docs: DataFrame, keep: list[str] | None = None, shingle: int
     parts = connected_components(covering_links(points, radius))
     named = points.join(parts, points["fp"] == parts["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of = named.join(least, "component").select("fp", "component_id")
-    return rows.join(of, "fp").select(*keep, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of = named.join(least, "component").select("fp", F.col("component").alias("component_fp"), "component_id")
+    return rows.join(of, "fp").select(*keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_fp", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6) -> DataFrame:
+    """docs with one row of each group of near copies: that of the smallest doc_id, then the smallest text hash.
+
+    Columns stay. Of rows alike in doc_id and text one is kept, by its other columns' hash. Texts without a
+    word are one group. Only ids and hashes take part in the grouping; the texts are joined once to the kept.
+    """
+    names = docs.columns
+    marked = docs.withColumn("_text", F.xxhash64("text"))
+    groups = simhash_groups(docs.select("doc_id", "text", F.xxhash64("text").alias("_text")), ["doc_id", "_text"], shingle, radius)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text")
+    kept = groups.groupBy("component_fp").agg(F.min(first).alias("k"), F.count("*").alias("n")).select(F.col("k.doc_id").alias("_id"), F.col("k._text").alias("_kept"), "n")
+    found = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_kept")))
+    # Only a group of several rows can hold the kept row twice.
+    single = found.where("n = 1").select(*[docs[n] for n in names])
+    whole = F.struct(*[docs[n] for n in names])
+    several = found.where("n > 1").groupBy("_id", "_text").agg(F.min_by(whole, F.struct(F.xxhash64(whole), F.lit(0))).alias("w")).select(*[F.col(f"w.`{n}`") for n in names])
+    return single.unionByName(several)
