@@ -21,6 +21,12 @@ def op3_nearest_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "toxicity.score", "toxicity.predicted", F.expr("transform(toxicity.evidence, x -> x.doc_id)").alias("nearest"))
 
 
+def op4_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rostra.llm.quality import rate_quality
+
+    return rate_quality(table(spark, sf_dir, "documents"))
+
+
 def op5_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rostra.llm.sharding import shard_manifest
 
@@ -45,6 +51,13 @@ def op9_covering_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rostra.llm.linededup import dedup_lines
+
+    lines = dedup_lines(table(spark, sf_dir, "documents"))
+    return lines.select("doc_id", "n_lines", "n_copies", "n_near", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op")}
 
