@@ -39,6 +39,12 @@ def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_manifest(table(spark, sf_dir, "documents"))
 
 
+def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rostra.llm.pii import with_pseudonyms
+
+    return with_pseudonyms(table(spark, sf_dir, "documents").select("doc_id", "text"), key="fixture key")
+
+
 def op8_gram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rostra.llm.decontam import benchmark_hits
 
