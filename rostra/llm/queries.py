@@ -10,6 +10,15 @@ from pyspark.sql import functions as F
 from rostra.llm.common import crc_fold, table
 
 
+def op2_chain_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rostra.llm.langid import fit, with_language
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_fold(docs["doc_id"], 4) == 2
+    read = with_language(docs.select("doc_id", held_out.alias("held_out"), "text"), fit(docs, ~held_out))
+    return read.select("doc_id", "held_out", F.col("language.lang").alias("lang_pred"), "language.score", "language.switches")
+
+
 def op3_nearest_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rostra.llm.toxicity import fit, with_toxicity
 
