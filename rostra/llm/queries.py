@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from rostra.llm.common import crc_fold, table
 
 
+def op1_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rostra.llm.repeats import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), 200)
+
+
 def op2_chain_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rostra.llm.langid import fit, with_language
 
