@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rostra.plans import scalar  # noqa: F401
+from rostra.plans import domain, scalar  # noqa: F401
 from rostra.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

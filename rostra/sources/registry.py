@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from rostra.functions.text import merged_text, stripped
 
 #: The keys under which registries have given these numbers, first to last.
-BILL_KEYS = ["bills_authored_total", "bills_authored", "initiated_bills_count", "bill_count", "proposals_count", "legislative_initiatives"]
-AMENDMENT_KEYS = ["amendments_added_total", "amendments_added", "amendments_total", "amendments_count", "amendment_count", "added_amendments", "amendments"]
+BILL_KEYS = ["bills_authored_total", "bills_authored", "total_bills_authored", "initiated_bills_count", "proiecte_initiate_total", "proiecte_initiate"]
+AMENDMENT_KEYS = ["amendments_added_total", "amendments_added", "total_amendments_added", "amendments_count", "proposed_amendments_count", "amendamente_adaugate_total", "amendamente_adaugate"]
 _MEMBER = "id string, name string, profile_url string, circumscriptie string, party string, party_full_name string"
 REGISTRY = f"metadata struct<build_date:string,total_count:int>, members array<struct<{', '.join(f'{n}:{t}' for n, t in (x.rsplit(' ', 1) for x in _MEMBER.split(', ')))}, {', '.join(f'{k}:string' for k in BILL_KEYS + AMENDMENT_KEYS)}>>"
 SESSION = "source_url string, session_id string, stenograma_date string, initial_notes string, speeches array<struct<speaker:string,text:string,text2:string,text3:string>>"
