@@ -4,10 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Any
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import rostra
+
+# What runs on executors travels with its code: they need this package's requirements, not the package.
+cloudpickle.register_pickle_by_value(rostra)
+
 #: A word is a run of bytes other than space and the ASCII controls 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -47,3 +54,12 @@ def n_words(text: Column) -> Column:
 def crc_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo folds; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % F.lit(folds)
+
+
+def share(spark: SparkSession, value: Any) -> Broadcast:
+    """A broadcast of any object of bounded size; taken() reads it on executors."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def taken(shared: Broadcast) -> Any:
+    return cloudpickle.loads(shared.value)

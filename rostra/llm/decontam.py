@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rostra.llm.common import share, taken
+
 Q = 8
 
 
@@ -152,14 +154,14 @@ def with_benchmark_hits(docs: DataFrame, benchmark: DataFrame, error: float = 0.
     """
     found = F.array().cast(_HITS)
     for part in _blocks([(r[0], r[1]) for r in benchmark.where("text is not null").select("item_id", "text").toLocalIterator()], block):
-        found = F.concat(found, _search(docs.sparkSession.sparkContext.broadcast(part), error)(docs["text"]))
+        found = F.concat(found, _search(share(docs.sparkSession, part), error)(docs["text"]))
     return docs.withColumn(into, found)
 
 
 def _search(items, error: float):
     @F.pandas_udf(_HITS)
     def search(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        grams = GramIndex(items.value, error)
+        grams = GramIndex(taken(items), error)
         for texts in series:
             out: list = []
             for some in _runs(texts):

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rostra.llm.common import share, taken
+
 _LETTERS = re.compile(r"[^\W\d_]+")
 WIDE = 24
 BUCKETS = 1 << 17
@@ -250,11 +252,11 @@ def with_language(docs: DataFrame, chain: Chain | None, into: str = "language")
     kind = "struct<lang:string,score:double,words:bigint,switches:bigint>"
     if chain is None:
         return docs.withColumn(into, F.struct(F.lit("und").alias("lang"), F.lit(0.0).alias("score"), F.lit(0).cast("long").alias("words"), F.lit(0).cast("long").alias("switches")))
-    shared = docs.sparkSession.sparkContext.broadcast(chain)
+    shared = share(docs.sparkSession, chain)
 
     @F.pandas_udf(kind)
     def judge(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        reader = Reader(shared.value)
+        reader = Reader(taken(shared))
         for texts in series:
             yield pd.DataFrame(reader.read(list(texts)), columns=["lang", "score", "words", "switches"])
 
