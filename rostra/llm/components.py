@@ -2,27 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostra.llm.common import cut
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
-    """One star step over links (a, b), a > b.
+def _large_star(links: DataFrame) -> DataFrame:
+    """Every node of links (a, b), a > b, hangs its higher neighbours under the least of its neighbours and itself.
 
-    Large: every node hangs its higher neighbours under the least of its neighbours and itself. Small: every
-    node hangs itself and its lower neighbours under the least of them. The least is summed up before the
-    shuffle and joined back, so the links of a hub can be split over tasks.
+    The least is summed up before the shuffle and joined back, so the links of a hub can be split over tasks.
     """
-    if large:
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        hung = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        least = links.groupBy("a").agg(F.min("b").alias("m"))
-        hung = links.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-    return hung.where("a <> b").distinct()
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+
+
+def _small_star(links: DataFrame) -> DataFrame:
+    """Every node hangs itself and its lower neighbours under the least of them; a node has as many as hubs met it."""
+    least = F.min("b").over(Window.partitionBy("a"))
+    pairs = links.withColumn("m", least).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*")
+    return pairs.where("a <> b").distinct()
 
 
 def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -38,7 +38,7 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
         if tuple(now) == sign or not now[0]:
             break
         sign = tuple(now)
-        links = cut(_star(_star(links, True), False))
+        links = cut(_small_star(_large_star(links)))
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rostra.llm.common import cut
 from rostra.llm.components import connected_components
@@ -16,8 +17,8 @@ from rostra.llm.components import connected_components
 BITS = 64
 
 
-def fingerprint(text: str | None, shingle: int = 4) -> int:
-    """SimHash of the word shingles of a text, repeats included; 0 if it has no word."""
+def fingerprint(text: str | None, shingle: int = 4, once: bool = False) -> int:
+    """SimHash of the word shingles of a text, repeats included unless `once`; 0 if it has no word."""
     words = text.encode().lower().split() if text else []  # bytes: A-Z only, and splits at 0x20, 0x09-0x0D only
     if not words:
         return 0
@@ -27,7 +28,9 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], 42) for a, b in zip(starts[: 1 - shingle].tolist(), ends[shingle - 1 :].tolist())], "<u8")
+    hashes = np.array([digest(joined[a:b], 42) for a, b in zip(starts[: len(starts) + 1 - shingle].tolist(), ends[shingle - 1 :].tolist())], "<u8")
+    if once:
+        hashes = np.unique(hashes)
     votes = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)]
@@ -35,14 +38,20 @@ def fingerprint(text: str | None, shingle: int = 4) -> int:
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def with_fingerprint(docs: DataFrame, keep: list[str], shingle: int = 4) -> DataFrame:
-    """The columns `keep` of docs and fp, the fingerprint as a signed long."""
-    schema = docs.select(*keep).schema.add("fp", "long")
+def with_fingerprint(docs: DataFrame, keep: list[str], shingle: int = 4, confirm: int | None = None) -> DataFrame:
+    """The columns `keep` of docs and the fingerprints fp and check, as signed longs.
+
+    With `confirm`, check is the fingerprint of shingles of so many words, and fp that of shingles that count
+    once each; else check is 0.
+    """
+    schema = StructType([*docs.select(*keep).schema.fields, StructField("fp", LongType()), StructField("check", LongType())])
 
     def prints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.fromiter((fingerprint(x.as_py(), shingle) for x in batch.column(0)), np.uint64, batch.num_rows).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fp)], names=schema.names)
+            texts = batch.column(0)
+            fp = np.fromiter((fingerprint(x.as_py(), shingle, confirm is not None) for x in texts), np.uint64, len(texts))
+            check = np.fromiter((fingerprint(x.as_py(), confirm) if confirm else 0 for x in texts), np.uint64, len(texts))
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fp.view(np.int64)), pa.array(check.view(np.int64))], names=schema.names)
 
     return docs.select("text", *keep).mapInArrow(prints, schema)
 
@@ -60,117 +69,123 @@ def covering_masks(radius: int, turn: int = 0) -> np.ndarray:
     return (odd.astype(np.uint64) << np.arange(BITS, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
-def _forest(points: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links (lower, higher position) that join points within the radius of each other, one fewer than each set has points."""
-    n, found, label = len(points), [], np.arange(len(points))
-    for i in range(n - 1):
-        near = i + 1 + np.flatnonzero(np.bitwise_count(points[i + 1 :] ^ points[i]) <= radius)
-        for j in near[label[near] != label[i]].tolist():
-            if label[j] != label[i]:
-                label[label == label[j]] = label[i]
-                found.append((i, j))
-    return found
+def _stars(points: np.ndarray, checks: np.ndarray, radius: int, apart: int) -> list[tuple[int, int]]:
+    """For each set of points that steps within both radii join, links (position) from its first to all others."""
+    label = np.arange(len(points))
+    for i in range(len(points) - 1):
+        near = i + 1 + np.flatnonzero((np.bitwise_count(points[i + 1 :] ^ points[i]) <= radius) & (np.bitwise_count(checks[i + 1 :] ^ checks[i]) <= apart))
+        for other in set(label[near].tolist()) - {int(label[i])}:
+            low, high = sorted((other, int(label[i])))
+            label[label == high] = low
+    return [(int(label[j]), j) for j in np.flatnonzero(label != np.arange(len(points))).tolist()]
+
+
+_LINK = ["a", "a_check", "b", "b_check", "bucket"]
 
 
-def _links(radius: int, most: int | None):
-    """Reads rows (bucket, fp) sorted by bucket; gives links (a, b), or (a, null, bucket) for the members of buckets above most."""
+def _links(radius: int, apart: int, most: int | None):
+    """Reads rows (bucket, fp, check) sorted by bucket; gives links a, b, or a and its bucket for the members of buckets above most."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_key, held_fp = np.empty(0, np.int64), np.empty(0, np.int64)
+        held = [np.empty(0, np.int64)] * 3
         passing: int | None = None  # the bucket that is being handed on unsolved
 
-        def solve(key: np.ndarray, fp: np.ndarray, last: bool) -> tuple[pa.RecordBatch, int]:
+        def solve(last: bool) -> tuple[pa.RecordBatch, int]:
             nonlocal passing
+            key, fp, check = held
             starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             ends = np.append(starts[1:], len(key))
             done = len(key) if last else int(starts[-1])
-            a, b, over = [], [], []
+            out: list[list] = [[], [], [], [], []]
             size = ends - starts
-            for k in np.flatnonzero((size > 1) | (key[starts] == passing if passing is not None else False)).tolist():
+            wanted = size > 1 if passing is None else (size > 1) | (key[starts] == passing)
+            for k in np.flatnonzero(wanted).tolist():
                 s, e = int(starts[k]), int(ends[k])
                 large = most is not None and (size[k] > most or passing == key[s])
-                if e > done and not large:
-                    continue
-                points = np.unique(fp[s:e])
                 if large:
                     passing, done = int(key[s]), max(done, e)
-                    a += points.tolist()
-                    b += [None] * len(points)
-                    over += [passing] * len(points)
-                elif len(points) > 1:
-                    pairs = _forest(points.view(np.uint64), radius)
-                    a += [int(points[i]) for i, _ in pairs]
-                    b += [int(points[j]) for _, j in pairs]
-                    over += [None] * len(pairs)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(over, pa.int64())], names=["a", "b", "bucket"]), done
+                    for column, values in zip(out, (fp[s:e].tolist(), check[s:e].tolist(), [None] * (e - s), [None] * (e - s), [passing] * (e - s))):
+                        column += values
+                elif e <= done:
+                    f, c = fp[s:e], check[s:e]
+                    for i, j in _stars(f.view(np.uint64), c.view(np.uint64), radius, apart):
+                        for column, value in zip(out, (int(f[i]), int(c[i]), int(f[j]), int(c[j]), None)):
+                            column.append(value)
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=_LINK), done
 
         for batch in batches:
-            held_key = np.concatenate((held_key, batch.column(0).to_numpy(zero_copy_only=False)))
-            held_fp = np.concatenate((held_fp, batch.column(1).to_numpy(zero_copy_only=False)))
-            if len(held_key):
-                out, done = solve(held_key, held_fp, False)
-                held_key, held_fp = held_key[done:], held_fp[done:]
+            held = [np.concatenate((h, batch.column(i).to_numpy(zero_copy_only=False))) for i, h in enumerate(held)]
+            if len(held[0]):
+                out, done = solve(False)
+                held = [h[done:] for h in held]
                 yield out
-        if len(held_key):
-            yield solve(held_key, held_fp, True)[0]
+        if len(held[0]):
+            yield solve(True)[0]
 
     return run
 
 
-def covering_links(points: DataFrame, radius: int = 4, most: int = 4096, rounds: int = 4) -> DataFrame:
-    """Links a, b between the values of points.fp (distinct longs) such that all within the radius are joined, directly or by others.
+def covering_links(points: DataFrame, radius: int = 4, apart: int = BITS, most: int = 4096, rounds: int = 4) -> DataFrame:
+    """Links a, a_check, b, b_check between points (distinct fp, check) such that all within both radii are joined, directly or by others.
 
-    Every value goes to one bucket of each covering table. A bucket is linked in one task, sparsely; the
-    members of a bucket of more than `most` go to the next round, where another covering divides the bucket
-    by more of the bits. After `rounds` so few bits are free that buckets are bounded.
+    fp differs in `radius` bits at most, check in `apart`. Every point goes to one bucket of each table that
+    covers the radius of fp. A bucket is linked in one task, by a star for each set; the members of a bucket
+    of more than `most` go to the next round, where another covering divides the bucket by more of the bits.
+    After `rounds` so few bits are free that buckets are bounded.
     """
-    found, left = None, points.select(F.lit(0).cast("long").alias("bucket"), "fp")
+    found, left = None, points.select(F.lit(0).cast("long").alias("bucket"), "fp", "check")
     for turn in range(rounds):
         masks = [int(m) - (1 << 64) if m >= 1 << 63 else int(m) for m in covering_masks(radius, turn).tolist()]
         tables = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(m).cast("long").alias("m")) for t, m in enumerate(masks)])).alias("x")
-        keyed = left.select("bucket", "fp", tables).select(F.xxhash64("bucket", "x.t", F.col("fp").bitwiseAND(F.col("x.m")), F.lit(turn)).alias("bucket"), "fp")
+        keyed = left.select("bucket", "fp", "check", tables).select(F.xxhash64("bucket", "x.t", F.col("fp").bitwiseAND(F.col("x.m")), F.lit(turn)).alias("bucket"), "fp", "check")
         last = turn == rounds - 1
-        out = cut(keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_links(radius, None if last else most), "a long, b long, bucket long"))
-        links = out.where("b is not null").select("a", "b")
+        out = cut(keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_links(radius, apart, None if last else most), ", ".join(f"{n} long" for n in _LINK)))
+        links = out.where("bucket is null").drop("bucket")
         found = links if found is None else found.unionByName(links)
-        left = out.where("bucket is not null").select("bucket", F.col("a").alias("fp"))
+        left = out.where("bucket is not null").select("bucket", F.col("a").alias("fp"), F.col("a_check").alias("check"))
         if last or left.isEmpty():
             break
     return found.distinct()
 
 
-def simhash_groups(docs: DataFrame, keep: list[str] | None = None, shingle: int = 4, radius: int = 4) -> DataFrame:
-    """doc_id (or the columns `keep`), fingerprint, component_fp, component_id of every row of docs.
+def simhash_groups(docs: DataFrame, keep: list[str] | None = None, shingle: int = 4, radius: int = 4, confirm: int | None = None, apart: int = 16) -> DataFrame:
+    """doc_id (or the columns `keep`), fingerprint, node, component, component_id of every row of docs.
 
-    Fingerprints that differ in at most `radius` bits link; component_id is the smallest doc_id that links
-    reach. Null and empty texts have fingerprint 0 and link like any other; null ids are reached but never
-    the smallest unless there are no others; repeated rows and ids are kept; an empty table gives no rows.
-    Copies meet as one fingerprint before any pairing.
+    Fingerprints that differ in at most `radius` bits link; with `confirm` those of shingles of so many words
+    must also differ in at most `apart`. component_id is the smallest doc_id that links reach. Null and empty
+    texts have fingerprint 0 and link like any other; null ids are reached but never the smallest unless there
+    are no others; repeated rows and ids are kept; an empty table gives no rows. Copies meet as one
+    fingerprint before any pairing.
     """
     keep = keep or ["doc_id"]
-    rows = cut(with_fingerprint(docs, keep, shingle))
-    points = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    parts = connected_components(covering_links(points, radius))
-    named = points.join(parts, points["fp"] == parts["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    node = lambda fp, check: F.xxhash64(fp, check) if confirm else F.col(fp)
+    rows = cut(with_fingerprint(docs, keep, shingle, confirm))
+    points = cut(rows.groupBy("fp", "check").agg(F.min("doc_id").alias("least")).withColumn("node", node("fp", "check")))
+    links = covering_links(points, radius, apart if confirm else BITS).select(node("a", "a_check").alias("a"), node("b", "b_check").alias("b"))
+    parts = connected_components(links).withColumnRenamed("node", "of")
+    named = points.join(parts, points["node"] == parts["of"], "left").select("fp", "check", "node", "least", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of = named.join(least, "component").select("fp", F.col("component").alias("component_fp"), "component_id")
-    return rows.join(of, "fp").select(*keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_fp", "component_id")
+    of = named.join(least, "component").select("fp", "check", "node", "component", "component_id")
+    return rows.join(of, ["fp", "check"]).select(*keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "node", "component", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 5, radius: int = 6) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 1, radius: int = 6, confirm: int | None = 5, apart: int = 16) -> DataFrame:
     """docs with one row of each group of near copies: that of the smallest doc_id, then the smallest text hash.
 
-    Columns stay. Of rows alike in doc_id and text one is kept, by its other columns' hash. Texts without a
-    word are one group. Only ids and hashes take part in the grouping; the texts are joined once to the kept.
+    Two texts link if the fingerprints of their sets of words are close, which covering hashing finds, and
+    those of their five-word shingles confirm it: at a similarity of 0.8 these differ in 10 of 64 bits, give
+    or take 3, and hardly ever in more than 16. Columns stay. Of rows alike in doc_id and text one is kept, by
+    its other columns' hash. Texts without a word are one group. Only ids and hashes take part in the
+    grouping; the texts are joined once to the kept.
     """
     names = docs.columns
     marked = docs.withColumn("_text", F.xxhash64("text"))
-    groups = simhash_groups(docs.select("doc_id", "text", F.xxhash64("text").alias("_text")), ["doc_id", "_text"], shingle, radius)
+    groups = simhash_groups(marked.select("doc_id", "text", "_text"), ["doc_id", "_text"], shingle, radius, confirm, apart)
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text")
-    kept = groups.groupBy("component_fp").agg(F.min(first).alias("k"), F.count("*").alias("n")).select(F.col("k.doc_id").alias("_id"), F.col("k._text").alias("_kept"), "n")
+    kept = groups.groupBy("component").agg(F.min(first).alias("k"), F.count("*").alias("n")).select(F.col("k.doc_id").alias("_id"), F.col("k._text").alias("_kept"), "n")
     found = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_kept")))
     # Only a group of several rows can hold the kept row twice.
-    single = found.where("n = 1").select(*[docs[n] for n in names])
-    whole = F.struct(*[docs[n] for n in names])
-    several = found.where("n > 1").groupBy("_id", "_text").agg(F.min_by(whole, F.struct(F.xxhash64(whole), F.lit(0))).alias("w")).select(*[F.col(f"w.`{n}`") for n in names])
+    single = found.where("n = 1").select(*[F.col(f"`{n}`") for n in names])
+    whole = F.struct(*[F.col(f"`{n}`") for n in names])
+    several = found.where("n > 1").groupBy("_id", "_kept").agg(F.min_by(whole, F.xxhash64(whole)).alias("w")).select(*[F.col(f"w.`{n}`") for n in names])
     return single.unionByName(several)
