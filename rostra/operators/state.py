@@ -75,3 +75,25 @@ def candidates(files: DataFrame, ledger: DataFrame) -> DataFrame:
 def run_states(events: DataFrame) -> DataFrame:
     """The state of each run by its latest event; a run that has failed or completed may start again."""
     return events.groupBy("run_id").agg(F.max_by("status", "at").alias("status"), F.min("at").alias("started_at"), F.max("at").alias("updated_at"))
+
+
+def append(history: DataFrame, runs: DataFrame, renamed: dict[str, str]) -> DataFrame:
+    """History and new runs; columns of an older shape get their new names, missing ones are null."""
+    old = history.withColumnsRenamed({a: b for a, b in renamed.items() if a in history.columns})
+    return old.unionByName(runs, allowMissingColumns=True)
+
+
+def reprocess(work: DataFrame, done: DataFrame, keys: Sequence[str], source: Column, model: str | None = None) -> DataFrame:
+    """Work that no model has done, or, with `model`, that this one hasn't."""
+    return pending(work, done, keys, source.startswith("llm_v1:") if model is None else source == f"llm_v1:{model}")
+
+
+def cleared(table: DataFrame) -> DataFrame:
+    """An empty table of the same shape."""
+    return table.limit(0)
+
+
+def looked_up(targets: DataFrame, interventions: DataFrame) -> DataFrame:
+    """The id of each target (session_id, speech_index); those without one have found = false."""
+    ids = interventions.select("session_id", "speech_index", "intervention_id")
+    return targets.join(ids, ["session_id", "speech_index"], "left").withColumn("found", F.col("intervention_id").isNotNull())
