@@ -47,6 +47,14 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like `name` that df doesn't have, in any case of letters."""
+    taken_names = {c.lower() for c in df.columns}
+    while name.lower() in taken_names:
+        name = f"_{name}"
+    return name
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

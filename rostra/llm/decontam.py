@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostra.llm.common import share, taken
+from rostra.llm.common import fresh, share, taken
 
 Q = 8
 
@@ -192,4 +192,5 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, **options) -> DataFram
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """docs without the rows that hold a benchmark item; columns stay."""
-    return with_benchmark_hits(docs, benchmark, into="_hits", **options).where(F.size("_hits") == 0).select(*[docs[n] for n in docs.columns])
+    hits = fresh(docs, "hits")
+    return with_benchmark_hits(docs, benchmark, into=hits, **options).where(F.size(hits) == 0).drop(hits)

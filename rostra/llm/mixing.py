@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostra.llm.common import cut, n_words
+from rostra.llm.common import cut, fresh, n_words
 
 #: Within this much of an integer, a copy count is that integer.
 EXACT = 1e-9
@@ -144,14 +144,12 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     Rows alike in source, doc_id and size are taken evenly: those with the lower text first.
     """
     words = n_words(docs["text"])
-    mixed = mix_counts(docs, words, **options).select("source", "doc_id", "size", "rows", "copies").toDF("_source", "_id", "_size", "_rows", "_copies")
-    names = docs.columns
-    single = docs.withColumn("_words", words).join(
-        mixed, F.col("source").eqNullSafe(F.col("_source")) & F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_words") == F.col("_size"))
-    )
+    size, m_source, m_id, m_size, rows, copies, nth = (fresh(docs, x) for x in ("words", "mixed_source", "mixed_id", "mixed_size", "rows_alike", "copies", "nth"))
+    mixed = mix_counts(docs, words, **options).select("source", "doc_id", "size", "rows", "copies").toDF(m_source, m_id, m_size, rows, copies)
+    held = docs.withColumn(size, words).join(mixed, F.col("source").eqNullSafe(F.col(m_source)) & F.col("doc_id").eqNullSafe(F.col(m_id)) & (F.col(size) == F.col(m_size)))
     # Rows that are alike share one draw; the rank among them is only needed where there are several.
-    alike = Window.partitionBy("_source", "_id", "_size").orderBy("text")
-    several = single.where("_rows > 1").withColumn("_nth", F.row_number().over(alike) - 1)
-    single = single.where("_rows = 1").withColumn("_nth", F.lit(0))
-    own = F.floor(F.col("_copies") / F.col("_rows")) + F.when(F.col("_nth") < F.col("_copies") % F.col("_rows"), 1).otherwise(0)
-    return single.unionByName(several).withColumn("_take", F.explode(F.array_repeat(F.lit(1), own.cast("int")))).select(*[F.col(f"`{n}`") for n in names])
+    alike = Window.partitionBy(m_source, m_id, m_size).orderBy("text")
+    several = held.where(F.col(rows) > 1).withColumn(nth, F.row_number().over(alike) - 1)
+    both = held.where(F.col(rows) == 1).withColumn(nth, F.lit(0)).unionByName(several)
+    own = F.floor(F.col(copies) / F.col(rows)) + F.when(F.col(nth) < F.col(copies) % F.col(rows), 1).otherwise(0)
+    return both.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array_repeat(F.lit(1), own.cast("int"))).alias(nth)).drop(nth)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from rostra.llm.common import cut
+from rostra.llm.common import cut, fresh
 from rostra.llm.components import connected_components
 
 BITS = 64
@@ -178,14 +178,14 @@ def keep_one(docs: DataFrame, shingle: int = 1, radius: int = 6, confirm: int |
     its other columns' hash. Texts without a word are one group. Only ids and hashes take part in the
     grouping; the texts are joined once to the kept.
     """
-    names = docs.columns
-    marked = docs.withColumn("_text", F.xxhash64("text"))
-    groups = simhash_groups(marked.select("doc_id", "text", "_text"), ["doc_id", "_text"], shingle, radius, confirm, apart)
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text")
-    kept = groups.groupBy("component").agg(F.min(first).alias("k"), F.count("*").alias("n")).select(F.col("k.doc_id").alias("_id"), F.col("k._text").alias("_kept"), "n")
-    found = marked.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_kept")))
+    mark, own, kept_mark, n = (fresh(docs, x) for x in ("text_hash", "kept_id", "kept_hash", "rows_in_group"))
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    groups = simhash_groups(marked.select("doc_id", "text", F.col(mark).alias("text_hash")), ["doc_id", "text_hash"], shingle, radius, confirm, apart)
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    kept = groups.groupBy("component").agg(F.min(first).alias("k"), F.count("*").alias(n)).select(F.col("k.doc_id").alias(own), F.col("k.text_hash").alias(kept_mark), n)
+    found = marked.join(kept, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(mark) == F.col(kept_mark)))
     # Only a group of several rows can hold the kept row twice.
-    single = found.where("n = 1").select(*[F.col(f"`{n}`") for n in names])
-    whole = F.struct(*[F.col(f"`{n}`") for n in names])
-    several = found.where("n > 1").groupBy("_id", "_kept").agg(F.min_by(whole, F.xxhash64(whole)).alias("w")).select(*[F.col(f"w.`{n}`") for n in names])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = found.where(F.col(n) == 1).select(*columns)
+    several = found.where(F.col(n) > 1).groupBy(own, kept_mark).agg(F.min_by(F.struct(*columns), F.xxhash64(*columns)).alias("whole")).select("whole.*")
     return single.unionByName(several)

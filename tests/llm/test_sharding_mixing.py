@@ -86,8 +86,9 @@ def test_mix_meets_targets(spark, fan):
 def test_mix_repeats_rows(spark):
     docs, _ = corpus(spark)
     copies = mixing.mix_manifest(docs).agg(F.sum("copies")).first()[0]
-    mixed = mixing.mix(docs)
-    assert mixed.columns == docs.columns and mixed.count() == copies
+    more = docs.withColumn("copies", F.lit("own")).withColumn("nth", F.lit(7))
+    mixed = mixing.mix(more)
+    assert mixed.columns == more.columns and mixed.where("copies = 'own' and nth = 7").count() == copies
     assert mixing.mix(docs.limit(0)).count() == 0
 
 

@@ -80,6 +80,6 @@ def test_keep_one_of_near_copies(spark):
     near = base.split()
     near[150] = "changed"
     rows = [(7, base, 1), (4, " ".join(near), 2), (9, other, 3), (9, other, 3), (8, text(5), 4)]
-    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, fp int"))
-    assert kept.columns == ["doc_id", "text", "fp"]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, text_hash int"))
+    assert kept.columns == ["doc_id", "text", "text_hash"] and {x.text_hash for x in kept.collect()} == {2, 3, 4}
     assert sorted(x.doc_id for x in kept.collect()) == [4, 8, 9]
