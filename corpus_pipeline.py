@@ -5,9 +5,8 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from rostra.llm.common import crc_fold, cut, table
+from rostra.llm.common import crc_fold, cut, fresh, table
 from rostra.llm.decontam import decontaminate
 from rostra.llm.mixing import mix
 from rostra.llm.sharding import with_shard
@@ -17,14 +16,15 @@ from rostra.llm.toxicity import fit, with_toxicity
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.7 or more go; the classifier learns from the labelled ones of two folds in three."""
-    labels = table(spark, sf_dir, "labels").where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = docs.where(crc_fold(docs["doc_id"], 3) != 1).select("doc_id", "text").join(labels, "doc_id")
-    return with_toxicity(docs, fit(docs, known), into="_toxicity").where("_toxicity.predicted = 0").select(*[docs[n] for n in docs.columns])
+    labels = table(spark, sf_dir, "labels")
+    index = fit(docs, labels.where(crc_fold(labels["doc_id"], 3) != 1))
+    found = fresh(docs, "toxicity")
+    return with_toxicity(docs, index, into=found).where(f"{found}.predicted = 0").drop(found)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, fingerprints up to six bits apart."""
-    return keep_one(docs, shingle=5, radius=6)
+    """One document of each group of near copies stays: word sets up to six bits apart, confirmed by five-word shingles."""
+    return keep_one(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,8 +30,8 @@ def op3_nearest_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     held_out = crc_fold(docs["doc_id"], 3) == 1
-    labels = table(spark, sf_dir, "labels").where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    index = fit(docs, docs.where(~held_out).select("doc_id", "text").join(labels, "doc_id"))
+    labels = table(spark, sf_dir, "labels")
+    index = fit(docs, labels.where(crc_fold(labels["doc_id"], 3) != 1))
     scored = with_toxicity(docs.select("doc_id", held_out.alias("held_out"), "text"), index)
     return scored.select("doc_id", "held_out", "toxicity.score", "toxicity.predicted", F.expr("transform(toxicity.evidence, x -> x.doc_id)").alias("nearest"))
 

@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,10 +16,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostra.llm.common import cut
+from rostra.llm.common import cut, share, taken
 
 _LETTERS = re.compile(r"[^\W\d_]+")
-STEM = 5
+STEM = 4
 
 
 def features(text: str | None) -> Counter:
@@ -151,35 +152,40 @@ def _described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def fit(docs: DataFrame, labelled: DataFrame, examples: int = 6000, terms: int = 4096, least: int = 5, sure: float = 4.0) -> Index:
-    """An index of labelled rows (doc_id, text, toxic 0 or 1), with the document frequencies of all docs.
+def fit(docs: DataFrame, labels: DataFrame, examples: int = 6000, terms: int = 4096, least: int = 5, sure: float = 4.0, lift: float = 8.0) -> Index:
+    """An index of the rows of docs (doc_id, text) that labels (doc_id, toxic 0 or 1) has, with the document frequencies of all docs.
 
-    Examples are a sample of at most `examples` rows, half of them toxic if there are so many, chosen by a
-    hash of the id; of rows with the same least three-word run one is kept. Terms are the at most `terms`
-    words and word beginnings in `least` examples or more whose share of toxic ones is `sure` standard
-    deviations from the sample's. So the driver holds at most examples * terms weights. Document
-    frequencies are counted over every row of docs. Null labels are left out; without labels, or with one
-    label only, every score is the share of toxic ones.
+    Examples are a sample of at most `examples` ids, half of them toxic if there are so many, chosen by a
+    hash of the id, before any text is read; of rows with the same id one text is kept, of rows with the same
+    least three-word run one row. Terms are the at most `terms` words and word beginnings in `least` examples
+    or more whose share of toxic ones is `sure` standard deviations from the sample's, and whose odds are
+    `lift` times as high or low: words that say little would drown those that tell in the cosine of a long
+    text. So the driver holds at most examples * terms weights. Document frequencies are counted over every row of docs. Null labels are
+    left out, of several labels of an id the highest counts; without labels, or with one label only, every
+    score is the share of toxic ones.
     """
-    labelled = labelled.where("toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"), "text")
-    rate = labelled.agg(F.avg("toxic")).first()[0]
+    known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    known = cut(known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi"))
+    rate = known.agg(F.avg("toxic")).first()[0]
     prior = 0.0 if rate is None else float(rate)
-    ranked = [labelled.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(examples // 2) for y in (1, 0)]
-    sample = cut(ranked[0].unionByName(ranked[1]).repartition(32, F.xxhash64("doc_id", F.col("text"))).mapInArrow(_described, "doc_id long, toxic int, alike long, term array<string>, n array<int>"))
+    ids = cut(reduce(DataFrame.unionByName, [known.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples // 2) for y in (1, 0)]))
+    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    sample = cut(chosen.mapInArrow(_described, "doc_id long, toxic int, alike long, term array<string>, n array<int>"))
     single = sample.groupBy("alike").agg(F.min_by(F.struct("doc_id", "toxic", "term", "n"), F.struct("doc_id", "toxic", "term")).alias("x")).select("x.*")
     single = cut(single)
     ones, all_ = single.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count("*")).first()
     p = ones / max(1, all_)
     drift = (F.col("a") - F.col("m") * p) / F.sqrt(F.col("m") * F.lit(max(p * (1 - p), 1e-9)))
+    odds = ((F.col("a") + 0.5) / (F.col("m") - F.col("a") + 0.5)) / F.lit((ones + 0.5) / (all_ - ones + 0.5))
     chosen = (
         single.select("toxic", F.explode("term").alias("term")).groupBy("term").agg(F.sum("toxic").alias("a"), F.count("*").alias("m"))
-        .where((F.col("m") >= least) & (F.abs(drift) >= sure)).orderBy(F.abs(drift).desc(), "term").limit(terms).select("term").collect()
+        .where((F.col("m") >= least) & (F.abs(drift) >= sure) & ((odds >= lift) | (odds <= 1 / lift))).orderBy(F.abs(drift).desc(), "term").limit(terms).select("term").collect()
     )
     vocabulary = {t: i for i, t in enumerate(sorted(r[0] for r in chosen))}
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = share(docs.sparkSession, vocabulary)
 
     def frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, seen, rows = shared.value, Counter(), 0
+        own, seen, rows = taken(shared), Counter(), 0
         for batch in batches:
             rows += batch.num_rows
             for x in batch.column(0):
@@ -195,7 +201,7 @@ def fit(docs: DataFrame, labelled: DataFrame, examples: int = 6000, terms: int =
 
 def _indexed(single: DataFrame, vocabulary: dict[str, int], shared, idf: np.ndarray, prior: float) -> Index:
     def narrowed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
+        own = taken(shared)
         for batch in batches:
             rows = [[(own[t], n) for t, n in zip(ts, ns) if t in own] for ts, ns in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays(
@@ -218,11 +224,11 @@ def with_toxicity(docs: DataFrame, index: Index, bar: float = 0.7, evidence: int
     where they lie: ids, repeated rows and other columns don't matter; a column called as `into` is replaced.
     """
     kind = "struct<score:double,predicted:int,evidence:array<struct<doc_id:bigint,toxic:int,cosine:double>>>"
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = share(docs.sparkSession, index)
 
     @F.pandas_udf(kind)
     def judge(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = shared.value
+        own = taken(shared)
         for texts in series:
             rows = []
             for x in texts:
