@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="rostra-"))
         named = sc.getCheckpointDir()
