@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostra.llm.common import cut
+from rostra.llm.common import cut, share, taken
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -24,17 +24,17 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(n, _BASE, np.uint64))))
 
 
-def half_keys(h: np.ndarray) -> list[int]:
+def half_keys(words: list[bytes]) -> list[int]:
     """Keys of which two lines within one word edit share at least one.
 
     With the shorter line's words cut in the middle, an edit leaves one side alone. Each line cuts itself as
     if it were the shorter one and as if it were the longer by one word.
     """
-    n, keys = len(h), set()
-    for m in {n, n - 1}:
+    n, keys = len(words), set()
+    for m in (n, n - 1):
         first, last = m // 2, m - m // 2
-        keys.add(xxhash.xxh64_intdigest(h[:first].tobytes(), 2 * first) >> 1)
-        keys.add(xxhash.xxh64_intdigest(h[n - last :].tobytes(), 2 * last + 1) >> 1)
+        keys.add(xxhash.xxh64_intdigest(b" ".join(words[:first]), 2 * first) >> 1)
+        keys.add(xxhash.xxh64_intdigest(b" ".join(words[n - last :]), 2 * last + 1) >> 1)
     return sorted(keys)
 
 
@@ -62,34 +62,62 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
     return max(len(a), len(b)) - n - m <= 1
 
 
-def _lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "text_hash", "line", "h", "g", "words"]
-    for batch in batches:
-        ids, out = batch.column(0), []
-        for k, x in enumerate(batch.column(2)):
-            text, marked = x.as_py(), batch.column(1)[k].as_py()
-            for i, line in enumerate(text.encode().split(b"\n") if text else ()):
-                if words := line.split():
-                    plain = b" ".join(words)
-                    both = xxhash.xxh3_128_intdigest(plain)
-                    out.append((ids[k].as_py(), marked, i, (both & (1 << 64) - 1) - (1 << 63), (both >> 64) - (1 << 63), plain))
-                    if len(out) >= 20_000:
-                        yield _batch(out, ids.type, names)
-                        out = []
-        yield _batch(out, ids.type, names)
+#: Bits of the map that tells which lines' words to fetch; at any size of the corpus, what it lets through is checked by a join.
+_MAP = 1 << 25
 
 
-def _batch(rows: list[tuple], id_type: pa.DataType, names: list[str]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) or [[]] * 6
-    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, [id_type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()])], names=names)
+def _lines_of(text: str | None) -> Iterator[tuple[int, list[bytes], bytes, int, int]]:
+    """Number, words, plain form and its hash in two halves, of the lines that have a word."""
+    for i, line in enumerate(text.encode().split(b"\n") if text else ()):
+        if words := line.split():
+            plain = b" ".join(words)
+            both = xxhash.xxh3_128_intdigest(plain)
+            yield i, words, plain, (both & (1 << 64) - 1) - (1 << 63), (both >> 64) - (1 << 63)
 
 
-def _halves(lines: pd.Series) -> pd.Series:
-    return pd.Series([half_keys(_hashes(x.split(b" "))) for x in map(bytes, lines)])
+def _places(least: int):
+    """(doc_id, text_hash, text) to (doc_id, text_hash, line, h, g, halves); halves are null for short lines."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, marks, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+            for k, x in enumerate(batch.column(2)):
+                out += [(ids[k], marks[k], i, h, g, half_keys(w) if len(w) >= least else None) for i, w, _, h, g in _lines_of(x.as_py())]
+            cols = list(zip(*out)) or [[]] * 6
+            kinds = [batch.column(0).type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=["doc_id", "text_hash", "line", "h", "g", "halves"])
+
+    return run
+
+
+def _mapped(hashes: DataFrame) -> np.ndarray:
+    """A bit map of the values of h, of _MAP bits: at most _MAP / 64 rows come to the driver."""
+    at = F.pmod("h", F.lit(_MAP))
+    rows = hashes.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast(pmod(h, {_MAP}) % 64 as int))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(_MAP // 64, np.int64)
+    out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return out
+
+
+def _fetch(wanted):
+    """(text) to (h, g, words) of the lines whose h the map may have, each once a batch."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = taken(wanted)
+        for batch in batches:
+            found: dict[tuple[int, int], bytes] = {}
+            for x in batch.column(0):
+                for _, _, plain, h, g in _lines_of(x.as_py()):
+                    at = h % _MAP
+                    if int(bits[at >> 6]) >> (at & 63) & 1:
+                        found[h, g] = plain
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.int64()), pa.array([k[1] for k in found], pa.int64()), pa.array(list(found.values()), pa.binary())], names=["h", "g", "words"])
+
+    return run
 
 
 def _variants(lines: pd.Series) -> pd.Series:
-    return pd.Series([variants(_hashes(x.split(b" "))).view(np.int64).tolist() for x in map(bytes, lines)])
+    return pd.Series([variants(_hashes(x.split(b" "))).view(np.int64).tolist() for x in map(bytes, lines)], dtype=object)
 
 
 def _close(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -105,43 +133,45 @@ def line_verdicts(docs: DataFrame, least: int = 10) -> DataFrame:
     that one stays doesn't matter. Rows alike in doc_id and text count as one document.
 
     Equal lines meet as one, with the earliest place. Of these, only lines that share a half with another
-    emit deletion variants. Lines alike without their i-th word are one replacement apart; a line alike to
-    another without a word is one insertion apart. So the earliest of each such set is all that its members
-    need, a minimum summed up before the shuffle; the pair is then verified on the words themselves.
+    emit deletion variants; their words are fetched by a second reading of the texts. Lines alike without
+    their i-th word are one replacement apart; a line alike to another without a word is one insertion apart.
+    So the earliest of each such set is all that its members need, a minimum summed up before the shuffle;
+    the pair is then verified on the words themselves.
     """
-    rows = cut(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").distinct().mapInArrow(_lines, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, line int, h long, g long, words binary"))
+    marked = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = cut(marked.mapInArrow(_places(least), f"doc_id {kind}, text_hash long, line int, h long, g long, halves array<long>"))
     place = F.struct("doc_id", "text_hash", "line")
-    lines = cut(rows.groupBy("h", "g").agg(F.min(place).alias("at"), F.first("words").alias("words")))
-    long_ = lines.where(F.size(F.split(F.decode("words", "UTF-8"), " ")) >= least)
-    halves = cut(long_.select("h", "g", F.explode(F.pandas_udf(_halves, "array<long>")("words")).alias("half")))
-    shared = halves.groupBy("half").agg((F.min("h") != F.max("h")).alias("several")).where("several").select("half")
-    partners = halves.join(shared, "half", "left_semi").select("h", "g").distinct()
-    emitted = cut(
-        long_.join(partners, ["h", "g"], "left_semi")
-        .withColumn("rests", F.pandas_udf(_variants, "array<long>")("words"))
-        .select("h", "g", "at", F.posexplode("rests").alias("place", "rest"), F.size("rests").alias("n"))
-        .withColumn("whole", F.col("place") == F.col("n") - 1)
-        .select("h", "g", "at", "rest", "whole", F.when(~F.col("whole"), F.col("place")).alias("place"))
-    )
+    lines = cut(rows.groupBy("h", "g").agg(F.min(place).alias("at"), F.first("halves").alias("halves")))
+    halves = lines.where("halves is not null").select("h", "g", F.explode("halves").alias("half"))
+    shared = cut(halves.groupBy("half").agg((F.min("h") != F.max("h")).alias("several")).where("several").select("half"))
+    partners = cut(halves.join(shared, "half", "left_semi").select("h", "g").distinct())
+    words = docs.select("text").mapInArrow(_fetch(share(docs.sparkSession, _mapped(partners))), "h long, g long, words binary")
+    some = cut(words.join(partners, ["h", "g"], "left_semi").groupBy("h", "g").agg(F.min("words").alias("words")).join(lines.select("h", "g", "at"), ["h", "g"]))
+
+    rests = some.select("h", "g", "at", F.pandas_udf(_variants, "array<long>")("words").alias("rests"))
+    every = rests.select("h", "g", "at", F.posexplode("rests").alias("place", "rest"), F.size("rests").alias("n"))
+    emitted = every.withColumn("whole", F.col("place") == F.col("n") - 1).drop("n")
+    # Variants that no other line has are most of them; what is left is small.
+    alike = emitted.where("not whole").groupBy("rest", "place").agg(F.count("*").alias("m")).where("m > 1").select("rest")
+    telling = alike.unionByName(rests.select(F.element_at("rests", -1).alias("rest"))).distinct()
+    hits = cut(emitted.join(telling, "rest", "left_semi"))
     one = F.struct("at", "h", "g")
-    alike = emitted.where("not whole").groupBy("rest", "place").agg(F.min(one).alias("first"), F.count("*").alias("m")).where("m > 1").select("rest", "place", "first")
-    deleted = emitted.where("not whole").groupBy("rest").agg(F.min(one).alias("first"))
-    entire = emitted.where("whole").groupBy("rest").agg(F.min(one).alias("first"))
-    # Only what some line is whole, less a word, can link by an insertion.
-    both = deleted.withColumnRenamed("first", "part").join(entire, "rest")
+    replaced = hits.where("not whole").groupBy("rest", "place").agg(F.min(one).alias("first"))
+    deleted = hits.where("not whole").groupBy("rest").agg(F.min(one).alias("part"))
+    entire = hits.where("whole").groupBy("rest").agg(F.min(one).alias("first"))
     found = (
-        emitted.where("not whole").join(alike, ["rest", "place"]).select("h", "g", "at", "first")
-        .unionByName(emitted.where("not whole").join(both, "rest").select("h", "g", "at", "first"))
-        .unionByName(emitted.where("whole").join(both, "rest").select("h", "g", "at", F.col("part").alias("first")))
+        hits.where("not whole").join(replaced, ["rest", "place"]).select("h", "g", "at", "first")
+        .unionByName(hits.where("not whole").join(entire, "rest").select("h", "g", "at", "first"))
+        .unionByName(hits.where("whole").join(deleted, "rest").select("h", "g", "at", F.col("part").alias("first")))
         .where(F.col("first.at") < F.col("at")).select("h", "g", F.col("first.h").alias("oh"), F.col("first.g").alias("og")).distinct()
     )
-    texts = lines.select("h", "g", "words")
-    near = (
-        found.join(texts, ["h", "g"]).join(texts.toDF("oh", "og", "other"), ["oh", "og"]).where(F.pandas_udf(_close, "boolean")("words", "other")).select("h", "g").distinct()
-    )
-    judged = lines.select("h", "g", "at").join(near.withColumn("near", F.lit(True)), ["h", "g"], "left").select("h", "g", "at", F.coalesce("near", F.lit(False)).alias("near"))
+    texts = some.select("h", "g", "words")
+    near = found.join(texts, ["h", "g"]).join(texts.toDF("oh", "og", "other"), ["oh", "og"]).where(F.pandas_udf(_close, "boolean")("words", "other")).select("h", "g", F.lit(True).alias("near")).distinct()
+    # Only lines that occur again or are near an earlier one can go.
     first = F.col("at").eqNullSafe(place)
-    return rows.select("doc_id", "text_hash", "line", "h", "g").join(judged, ["h", "g"]).where(~first | F.col("near")).select("doc_id", "text_hash", "line", F.when(first, "near").otherwise("copy").alias("dropped"))
+    judged = lines.select("h", "g", "at").join(near, ["h", "g"], "left")
+    return rows.select("doc_id", "text_hash", "line", "h", "g").join(judged, ["h", "g"]).where(~first | F.col("near").isNotNull()).select("doc_id", "text_hash", "line", F.when(first, "near").otherwise("copy").alias("dropped")).distinct()
 
 
 def dedup_lines(docs: DataFrame, least: int = 10) -> DataFrame:
