@@ -23,7 +23,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: word sets up to six bits apart, confirmed by five-word shingles."""
+    """One document of each group of near copies stays: five-word shingles with a Jaccard of 0.8 or more."""
     return keep_one(docs)
 
 

@@ -17,20 +17,22 @@ from rostra.llm.components import connected_components
 BITS = 64
 
 
-def fingerprint(text: str | None, shingle: int = 4, once: bool = False) -> int:
-    """SimHash of the word shingles of a text, repeats included unless `once`; 0 if it has no word."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """The hash of each word shingle of a text, repeats included; one of all its words if they are no more than a shingle."""
     words = text.encode().lower().split() if text else []  # bytes: A-Z only, and splits at 0x20, 0x09-0x0D only
     if not words:
-        return 0
+        return np.empty(0, "<u8")
+    digest = xxhash.xxh64_intdigest
     if len(words) <= shingle:
-        return xxhash.xxh64_intdigest(b" ".join(words), 42)
+        return np.array([digest(b" ".join(words), 42)], "<u8")
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], 42) for a, b in zip(starts[: len(starts) + 1 - shingle].tolist(), ends[shingle - 1 :].tolist())], "<u8")
-    if once:
-        hashes = np.unique(hashes)
+    return np.array([digest(joined[a:b], 42) for a, b in zip(starts[: len(starts) + 1 - shingle].tolist(), ends[shingle - 1 :].tolist())], "<u8")
+
+
+def _majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have; 0 for none."""
     votes = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)]
@@ -38,20 +40,33 @@ def fingerprint(text: str | None, shingle: int = 4, once: bool = False) -> int:
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, shingle: int = 4, once: bool = False) -> int:
+    """SimHash of the word shingles of a text, repeats included unless `once`; 0 if it has no word."""
+    hashes = shingle_hashes(text, shingle)
+    return _majority(np.unique(hashes) if once else hashes)
+
+
 def with_fingerprint(docs: DataFrame, keep: list[str], shingle: int = 4, confirm: int | None = None) -> DataFrame:
     """The columns `keep` of docs and the fingerprints fp and check, as signed longs.
 
     With `confirm`, check is the fingerprint of shingles of so many words, and fp that of shingles that count
-    once each; else check is 0.
+    once each; shingles and size are a hash and the number of the different ones that check is made of. Else
+    check is 0.
     """
-    schema = StructType([*docs.select(*keep).schema.fields, StructField("fp", LongType()), StructField("check", LongType())])
+    extra = [StructField("shingles", LongType()), StructField("size", LongType())] if confirm else []
+    schema = StructType([*docs.select(*keep).schema.fields, StructField("fp", LongType()), StructField("check", LongType()), *extra])
 
     def prints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0)
             fp = np.fromiter((fingerprint(x.as_py(), shingle, confirm is not None) for x in texts), np.uint64, len(texts))
-            check = np.fromiter((fingerprint(x.as_py(), confirm) if confirm else 0 for x in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fp.view(np.int64)), pa.array(check.view(np.int64))], names=schema.names)
+            check, own, size = np.zeros((3, len(texts)), np.uint64)
+            for i, x in enumerate(texts if confirm else []):
+                hashes = shingle_hashes(x.as_py(), confirm)
+                once = np.unique(hashes)
+                check[i], own[i], size[i] = _majority(hashes), xxhash.xxh64_intdigest(once.tobytes()), len(once)
+            new = [fp, check, own, size][: 4 if confirm else 2]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *[pa.array(x.view(np.int64)) for x in new]], names=schema.names)
 
     return docs.select("text", *keep).mapInArrow(prints, schema)
 
@@ -152,7 +167,8 @@ def simhash_groups(docs: DataFrame, keep: list[str] | None = None, shingle: int
     """doc_id (or the columns `keep`), fingerprint, node, component, component_id of every row of docs.
 
     Fingerprints that differ in at most `radius` bits link; with `confirm` those of shingles of so many words
-    must also differ in at most `apart`. component_id is the smallest doc_id that links reach. Null and empty
+    must also differ in at most `apart`, and the columns shingles and size of with_fingerprint are there too.
+    component_id is the smallest doc_id that links reach. Null and empty
     texts have fingerprint 0 and link like any other; null ids are reached but never the smallest unless there
     are no others; repeated rows and ids are kept; an empty table gives no rows. Copies meet as one
     fingerprint before any pairing.
@@ -166,23 +182,116 @@ def simhash_groups(docs: DataFrame, keep: list[str] | None = None, shingle: int
     named = points.join(parts, points["node"] == parts["of"], "left").select("fp", "check", "node", "least", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     of = named.join(least, "component").select("fp", "check", "node", "component", "component_id")
-    return rows.join(of, ["fp", "check"]).select(*keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "node", "component", "component_id")
+    return rows.join(of, ["fp", "check"]).select(*keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "node", "component", "component_id", *(["shingles", "size"] if confirm else []))
+
+
+def near_links(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """For each part of some sets that steps of a Jaccard of `least` join, links (position) from its first to all others.
+
+    A step meets, by the lists of the sets that hold an element, only those sets no part has yet; the lists are
+    made anew as these get fewer, so a group in which most are near each other costs little more than its size.
+    """
+    size = np.array([len(x) for x in sets], np.int64)
+    _, element = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_inverse=True)
+    bounds = np.concatenate(([0], np.cumsum(size)))
+    order = np.argsort(element, kind="stable")
+    owner, of = np.repeat(np.arange(len(sets)), size)[order], element[order]
+    first = np.searchsorted(of, np.arange(of[-1] + 2 if len(of) else 1))
+    free, listed, out = np.ones(len(sets), bool), len(sets), []
+    for root in range(len(sets)):
+        if not free[root]:
+            continue
+        free[root], todo = False, [root]
+        while todo and (left := np.count_nonzero(free)):
+            if 2 * left < listed:
+                owner, of = owner[stay := free[owner]], of[stay]
+                first, listed = np.searchsorted(of, np.arange(len(first))), left
+            i = todo.pop()
+            own = element[bounds[i] : bounds[i + 1]]
+            n = first[own + 1] - first[own]
+            at = np.repeat(first[own] - np.cumsum(n) + n, n) + np.arange(n.sum())
+            common = np.bincount(owner[at], minlength=len(sets))
+            near = np.flatnonzero(free & (common / np.maximum(size + size[i] - common, 1) >= least)).tolist()
+            free[near] = False
+            out += [(root, j) for j in near]
+            todo += near
+    return out
+
+
+def _sets(shingle: int):
+    """Reads (text, component, blocks, shingles); gives the different shingle hashes in place of the text, at the end."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = pa.array([np.unique(shingle_hashes(x.as_py(), shingle)).tobytes() for x in batch.column(0)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], hashes], names=["component", "blocks", "shingles", "hashes"])
+
+    return run
+
+
+def _near(least: float):
+    """Reads (component, low, high, shingles, hashes) sorted by the first three; gives links of shingles that are alike in these."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, nodes, sets = None, [], []
 
+        def solve() -> pa.RecordBatch:
+            links = near_links(sets, least) if len(sets) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([nodes[x[side]] for x in links], pa.int64()) for side in (0, 1)], names=["a", "b"])
 
-def keep_one(docs: DataFrame, shingle: int = 1, radius: int = 6, confirm: int | None = 5, apart: int = 16) -> DataFrame:
+        for batch in batches:
+            out = []
+            for *here, node, hashes in zip(*[c.to_pylist() for c in batch.columns[:4]], batch.column(4)):
+                if here != key:
+                    out.append(solve())
+                    key, nodes, sets = here, [], []
+                nodes.append(node)
+                sets.append(np.frombuffer(hashes.as_py(), "<u8"))
+            yield from (x for x in out if x.num_rows)
+        yield solve()
+
+    return run
+
+
+def shingle_links(docs: DataFrame, members: DataFrame, shingle: int, least: float, most: int = 1024, hashes: int = 1 << 20) -> DataFrame:
+    """Links a, b between the `shingles` of members whose shingle sets have a Jaccard of `least` or more.
+
+    members has component, shingles, size, and own_id and own_hash, the doc_id and text hash of a row of docs
+    (doc_id, text_hash, text) that has them. All pairs of a component count. One of more than `most` members
+    or `hashes` shingles is dealt over blocks, and each pair of blocks is a task's.
+    """
+    blocks = F.greatest(F.ceil(F.count("*") / most), F.ceil(F.sum("size") / hashes), F.lit(1)).cast("long")
+    several = members.groupBy("component").agg(F.count("*").alias("n"), blocks.alias("blocks")).where("n > 1").drop("n")
+    wanted = members.join(several, "component").select("component", "blocks", "shingles", "own_id", "own_hash")
+    found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["own_id"]) & (docs["text_hash"] == wanted["own_hash"])).select("text", "component", "blocks", "shingles")
+    sets = cut(found.mapInArrow(_sets(shingle), "component long, blocks long, shingles long, hashes binary").dropDuplicates(["component", "shingles"]))
+    block = "pmod(xxhash64(shingles), blocks)"
+    pairs = F.explode(F.expr(f"if(blocks = 1, array(struct(0L as low, 0L as high)), transform(filter(sequence(0L, blocks - 1), o -> o <> {block}), o -> struct(least(o, {block}) as low, greatest(o, {block}) as high)))"))
+    dealt = sets.withColumn("x", pairs).select("component", "x.low", "x.high", "shingles", "hashes")
+    return dealt.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high").mapInArrow(_near(least), "a long, b long")
+
+
+def keep_one(docs: DataFrame, shingle: int = 1, radius: int = 6, confirm: int = 5, apart: int = 16, least: float = 0.8, most: int = 1024) -> DataFrame:
     """docs with one row of each group of near copies: that of the smallest doc_id, then the smallest text hash.
 
-    Two texts link if the fingerprints of their sets of words are close, which covering hashing finds, and
-    those of their five-word shingles confirm it: at a similarity of 0.8 these differ in 10 of 64 bits, give
-    or take 3, and hardly ever in more than 16. Columns stay. Of rows alike in doc_id and text one is kept, by
-    its other columns' hash. Texts without a word are one group. Only ids and hashes take part in the
-    grouping; the texts are joined once to the kept.
+    Two texts link if the sets of their five-word shingles have a Jaccard of `least` or more. Which texts are
+    compared is what their fingerprints say: texts whose fingerprints of words, which covering hashing finds,
+    and of five-word shingles are close are candidates, and all are compared that candidates join, directly or
+    by others. At a similarity of 0.8 the latter differ in 10 of 64 bits, give or take 3, and hardly ever in
+    more than 16. Columns stay. Of rows alike in doc_id and text one is kept, by its other columns' hash. Texts
+    without a word are one group. Only ids and hashes take part in the grouping, and the texts of candidates in
+    the comparison; the texts are joined once to the kept.
     """
     mark, own, kept_mark, n = (fresh(docs, x) for x in ("text_hash", "kept_id", "kept_hash", "rows_in_group"))
     marked = docs.withColumn(mark, F.xxhash64("text"))
-    groups = simhash_groups(marked.select("doc_id", "text", F.col(mark).alias("text_hash")), ["doc_id", "text_hash"], shingle, radius, confirm, apart)
+    read = marked.select("doc_id", "text", F.col(mark).alias("text_hash"))
+    groups = cut(simhash_groups(read, ["doc_id", "text_hash"], shingle, radius, confirm, apart).select("doc_id", "text_hash", "component", "shingles", "size"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    kept = groups.groupBy("component").agg(F.min(first).alias("k"), F.count("*").alias(n)).select(F.col("k.doc_id").alias(own), F.col("k.text_hash").alias(kept_mark), n)
+    nodes = cut(groups.groupBy("component", "shingles").agg(F.min(first).alias("k"), F.max("size").alias("size"), F.count("*").alias("n")))
+    members = nodes.select("component", "shingles", "size", F.col("k.doc_id").alias("own_id"), F.col("k.text_hash").alias("own_hash"))
+    parts = connected_components(shingle_links(read, members, confirm, least, most)).withColumnRenamed("component", "part")
+    whole = nodes.join(parts, nodes["shingles"] == parts["node"], "left").withColumn("part", F.coalesce("part", "shingles"))
+    kept = whole.groupBy("part").agg(F.min("k").alias("k"), F.sum("n").alias(n)).select(F.col("k.doc_id").alias(own), F.col("k.text_hash").alias(kept_mark), n)
     found = marked.join(kept, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(mark) == F.col(kept_mark)))
     # Only a group of several rows can hold the kept row twice.
     columns = [F.col(f"`{c}`") for c in docs.columns]

@@ -83,3 +83,47 @@ def test_keep_one_of_near_copies(spark):
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, text_hash int"))
     assert kept.columns == ["doc_id", "text", "text_hash"] and {x.text_hash for x in kept.collect()} == {2, 3, 4}
     assert sorted(x.doc_id for x in kept.collect()) == [4, 8, 9]
+
+
+def shingles(text: str) -> set[str]:
+    words = text.lower().split()
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def jaccard(a: str, b: str) -> float:
+    return len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+
+
+def edited(text: str, *places: int) -> str:
+    return " ".join(f"{w}x" if i in places else w for i, w in enumerate(text.split()))
+
+
+@pytest.mark.parametrize("blocks", [{}, {"most": 3}])
+def test_keep_one_links_by_the_similarity_of_shingles(spark, blocks):
+    r = random.Random(4)
+    base = [" ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 9))) for _ in range(300)) for _ in range(12)]
+    far = [(a, edited(a, *range(20, 20 + 9 * 25, 25))) for a in base]
+    far = [(a, b) for a, b in far if (simhash.fingerprint(a, 1, True) ^ simhash.fingerprint(b, 1, True)).bit_count() <= 6 and (simhash.fingerprint(a, 5) ^ simhash.fingerprint(b, 5)).bit_count() <= 16]
+    assert len(far) > 2 and all(0.6 < jaccard(a, b) < 0.8 for a, b in far)
+    # each of a chain is near the next only, and both ends of one are far
+    chain = [edited(base[0], *range(20, 20 + 25 * k, 25)) for k in range(9)]
+    assert all(jaccard(a, b) >= 0.8 for a, b in zip(chain, chain[1:])) and jaccard(chain[0], chain[-1]) < 0.8
+    texts = [t for pair in far if pair[0] != base[0] for t in pair]
+    rows = [*enumerate(texts), *enumerate(chain, 100), (200, chain[4].upper()), (201, None), (202, " ")]
+    got = {x.doc_id for x in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), **blocks).collect()}
+    assert got == {*range(len(texts)), 100, 201}
+
+
+def test_near_links_against_brute_force():
+    r = random.Random(6)
+    some = [frozenset(r.sample(range(40), r.randint(0, 30))) for _ in range(30)]
+    sets = [s | {1000 + x for x in r.sample(range(3), 1)} for s in some for _ in range(4)]
+    for least in (0.5, 0.8, 1.0):
+        label = list(range(len(sets)))
+        for i, j in itertools.combinations(range(len(sets)), 2):
+            if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= least:
+                label = [label[i] if x == label[j] else x for x in label]
+        got = list(range(len(sets)))
+        for i, j in simhash.near_links([np.array(sorted(s), np.uint64) for s in sets], least):
+            got[j] = i
+        assert [got.index(x) for x in got] == [label.index(x) for x in label]
