@@ -22,6 +22,8 @@ from rostra.llm.common import cut
 
 GRAM = 32
 _RUN = 1 << 19
+#: Bytes that are searched at once: positions have 24 bits.
+_PART = 1 << 23
 
 
 def _gram_hashes(text: np.ndarray) -> np.ndarray:
@@ -87,27 +89,30 @@ def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[int], list[b
         yield keys, texts
 
 
-def _pieces(keys: list[int], texts: list[bytes], most: int = 1 << 23) -> Iterator[tuple[int, int, bytes]]:
-    """Texts as (key, offset, bytes): one too long for the position bits goes in parts that overlap."""
+def _pieces(keys: list[int], texts: list[bytes], length: int, part: int) -> Iterator[tuple[int, int, bytes]]:
+    """Texts as (key, offset, bytes): a long one goes in parts that overlap so that each string of `length` lies in one of them.
+
+    An anchor whose strings start in two parts has a row of each; these share length - 1 bytes, so they don't repeat each other.
+    """
     for key, text in zip(keys, texts):
-        for at in range(0, max(1, len(text)), most):
-            yield key, at, text[at : at + most + 4096]
+        for at in range(0, max(1, len(text)), part):
+            yield key, at, text[at : at + part + length - 1]
 
 
-def _hash_counts(length: int):
+def _hash_counts(length: int, part: int = _PART):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in _runs(batches):
-            for group in _grouped(keys, texts):
+            for group in _grouped(keys, texts, length, part):
                 h, n = np.unique(anchors([t for _, _, t in group], length)[4], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["hash", "n"])
 
     return run
 
 
-def _grouped(keys: list[int], texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
+def _grouped(keys: list[int], texts: list[bytes], length: int, part: int) -> Iterator[list[tuple[int, int, bytes]]]:
     some, size = [], 0
-    for piece in _pieces(keys, texts):
-        if some and size + len(piece[2]) > 1 << 23:
+    for piece in _pieces(keys, texts, length, part):
+        if some and size + len(piece[2]) > part:
             yield some
             some, size = [], 0
         some.append(piece)
@@ -116,11 +121,11 @@ def _grouped(keys: list[int], texts: list[bytes]) -> Iterator[list[tuple[int, in
         yield some
 
 
-def _anchor_rows(length: int):
+def _anchor_rows(length: int, part: int = _PART):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for keys, texts in _runs(batches):
-            for group in _grouped(keys, texts):
+            for group in _grouped(keys, texts, length, part):
                 own, at, begin, end, h = anchors([t for _, _, t in group], length)
                 around = np.fromiter((digest(group[o][2][b : e + length], (a - b) * 256 + a - e) for o, a, b, e in zip(own.tolist(), at.tolist(), begin.tolist(), end.tolist())), np.uint64, len(own))
                 shift = np.array([p[1] for p in group], np.int64)[own]
@@ -270,7 +275,7 @@ def _strings(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=["a", "b", "key", "start"])
 
 
-def maximal_repeats(docs: DataFrame, length: int = 200, most: int = 2000) -> DataFrame:
+def maximal_repeats(docs: DataFrame, length: int = 200, most: int = 2000, part: int = _PART) -> DataFrame:
     """key, start, end, repeat: the occurrences of byte strings of `length` or more that texts hold twice or more.
 
     docs has key (long, the same for equal texts) and text. An occurrence goes as far as the strings that share
@@ -283,8 +288,8 @@ def maximal_repeats(docs: DataFrame, length: int = 200, most: int = 2000) -> Dat
     that depth, are counted by hash with sums before the shuffle.
     """
     texts = docs.select("key", "text")
-    again = texts.mapInArrow(_hash_counts(length), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
-    rows = texts.mapInArrow(_anchor_rows(length), "hash long, around long, key long, place long")
+    again = texts.mapInArrow(_hash_counts(length, part), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
+    rows = texts.mapInArrow(_anchor_rows(length, part), "hash long, around long, key long, place long")
     shared = cut(rows.join(again, "hash", "left_semi"))
     one = F.struct("key", "place")
     groups = cut(shared.groupBy("hash", "around").agg(F.min(one).alias("first"), (F.min(one) != F.max(one)).alias("equal")))

@@ -60,3 +60,18 @@ def test_occurrences_have_equal_bytes(spark):
     for r in repeats.maximal_repeats(docs).collect():
         by.setdefault(r.repeat, set()).add(texts[r.key].encode()[r.start : r.end])
     assert by and all(len(x) == 1 for x in by.values())
+
+
+@pytest.mark.parametrize("most", [2000, 1])
+def test_long_texts_in_parts_against_brute_force(spark, monkeypatch, most):
+    part, scan = 6000, repeats.maximal_repeats
+    monkeypatch.setattr(repeats, "maximal_repeats", lambda docs, length: scan(docs, length, most, part))
+    r = random.Random(8)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage = text(500)
+    over = text(part - 250) + passage + text(part)  # a repeat across a border
+    texts = [text(4 * part), text(part), text(part + 199), text(part + 200), over, text(100) + passage + text(50), "ab" * part, text(part // 2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in repeats.remove_repeats(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == expected(texts, 200)
+    assert got[0][1] == 0 and got[4][1] >= 500
