@@ -13,15 +13,34 @@ from pyspark.sql import functions as F
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 
+#: Characters of an IBAN, by country (SWIFT registry).
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB LK NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban(length: int, countries: str) -> str:
+    """IBANs of a length, in groups of four or without spaces."""
+    fours, rest = divmod(length - 4, 4)
+    return rf"(?:{countries.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}" + (rf" ?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
+# Runs of four digits, that may hold several cards; then the other usual groups; then any grouping that does not run into one of them.
+_FOURS = r"\d{4}(?:[ -]\d{4}){3,12}(?:[ -]\d{1,3}(?![ .-]\d{3}[ .-]\d{4}))?"
+_SHAPES = rf"{_FOURS}|\d{{4}}[ -]\d{{6}}[ -]\d{{4,5}}|\d{{13,19}}"
+_CARD_END = r"(?!\w|[.-]\d)"
+
 #: What is looked at, in the order in which alternatives are tried; each is validated before it is replaced.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:(?:{'|'.join(_iban(*x) for x in _IBAN_LENGTHS.items())})(?![A-Za-z0-9])|[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])",
     "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d)",
     "phone": r"(?<![\w.(+-])(?:\+?1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
     "ssn": r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
-    "card": r"(?<![\w.])\d(?:[ -]?\d){12,18}(?!\w|[.-]\d)",
+    "card": rf"(?<![\w.])(?:(?:{_SHAPES}){_CARD_END}|\d(?:(?:[ -](?!(?:{_SHAPES}){_CARD_END}))?\d){{12,18}}){_CARD_END}",
 }
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
@@ -140,6 +159,26 @@ def _whole() -> dict[str, str]:
     return {k: re.sub(r"^\(\?<![^)]*\)|\(\?![^)]*\)$", "", p) for k, p in PATTERNS.items()}
 
 
+def _inner() -> str:
+    """x as an array of text and values by turns, a value first and last: x alone, or the valid parts of a run that is not valid.
+
+    Parts begin and end where a run has a separator. From the left, the longest that is valid is taken.
+    """
+    digits = "regexp_replace(y, '[^0-9]', '')"
+    card = f"y rlike '^[0-9]([ -]?[0-9]){{12,18}}$' and {_let('d', digits, _luhn('d', 0) + ' = 0')}"
+    v = "replace(y, ' ', '')"
+    iban = f"y rlike '^[A-Z]{{2}}[0-9]{{2}}' and length({v}) between 15 and 34 and {_let('v', v, _mod97('concat(substr(v, 5), substr(v, 1, 4))') + ' = 1')}"
+    valid = lambda part: _let("y", part, f"if(x rlike '^[A-Z]', {iban}, {card})")
+    at_end = "(i + n - 1 = length(x) or substr(x, i + n, 1) in (' ', '-'))"
+    lengths = f"filter(sequence(least(length(x) - i + 1, 42), 1, -1), n -> n >= 13 and {at_end} and {valid('substr(x, i, n)')})"
+    starts = "filter(sequence(1, length(x)), i -> i = 1 or substr(x, i - 1, 1) in (' ', '-'))"
+    spans = f"""aggregate(transform({starts}, i -> named_struct('i', i, 'n', try_element_at({lengths}, 1))), named_struct('end', 1, 'out', array('')),
+      (s, w) -> if(w.n is null or w.i < s.end, s, named_struct('end', w.i + w.n, 'out', concat(s.out, array(substr(x, s.end, w.i - s.end), substr(x, w.i, w.n))))),
+      s -> concat(s.out, array(substr(x, s.end), '')))"""
+    run = "(x rlike '^[A-Z]{2}[0-9]{2}[A-Z0-9 ]+$' or x rlike '^[0-9]([ -]?[0-9]){12,}$')"
+    return f"if({run} and not (length(x) <= 42 and {valid('x')}), {spans}, array(x))"
+
+
 def _sql(pattern: str) -> str:
     return pattern.replace("\\", "\\\\").replace("'", "\\'")
 
@@ -149,7 +188,8 @@ def with_pseudonyms(docs: DataFrame, key: str, column: str = "text") -> DataFram
 
     Recognised are e-mail addresses (the part before the @ moves letter by letter), IBANs (mod 97), calendar
     dates of 1800 to 2199 (with slashes: month first), phone numbers of the North American plan, social security numbers, IPv4 addresses
-    and card numbers (Luhn); values that fail their check stay. Separators, length, classes of characters
+    and card numbers (Luhn); values that fail their check stay. Of a run of numbers or capitals that fails
+    as a whole, the valid parts between separators are replaced, the longest first from the left. Separators, length, classes of characters
     and check digits are kept. A null text stays null, an empty one empty; repeated rows and ids don't
     matter; other columns pass through, one called n_replaced is replaced. The key must be kept secret.
     """
@@ -158,7 +198,8 @@ def with_pseudonyms(docs: DataFrame, key: str, column: str = "text") -> DataFram
     parts = F.when(raw.rlike("[0-9@]"), F.split(F.regexp_replace(plain, f"({_ANY})", f"{_MARK}$1{_MARK}"), _MARK)).otherwise(F.array(plain))
     cases = " ".join(f"when x rlike '^(?:{_sql(p)})$' then {_replacements()[kind]}" for kind, p in _whole().items())
     names = docs.columns
-    held = docs.withColumn("_parts", parts).withColumn("_key", F.lit(key))
+    held = docs.withColumn("_runs", parts).withColumn("_parts", F.expr(f"flatten(transform(_runs, (x, at) -> if(at % 2 = 1, {_inner()}, array(x))))"))
+    held = held.withColumn("_key", F.lit(key))
     new = F.expr(f"transform(_parts, (x, at) -> if(at % 2 = 1, element_at(transform(array(_key), k -> case {cases} end), 1), null))")
     held = held.withColumn("_new", new)
     joined = F.expr("array_join(transform(_parts, (x, at) -> coalesce(_new[at], x)), '')")

@@ -58,3 +58,14 @@ def test_no_python_in_the_plan(spark, capsys):
     docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     pii.with_pseudonyms(docs, "k").explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_values_followed_by_numbers_and_capitals(spark):
+    card, iban = "4111 1111 1111 1111", "AT61 1904 3002 3457 3201"
+    rest = [f"{card} 12/27", "4111111111111111 123 x", f"12 34 {card} 12", f"{iban} EUR 50", "AT611904300234573201 BIC ABCD", "DE89 3704 0044 0532 0130 00 USD", f"{card} 5500 0000 0000 0004", f"1000 2000 {card}", f"{card} 489 555 8583", "1000 2000 3000 4001 5"]
+    got = replaced(spark, rest)
+    assert [got[i].n_replaced for i in range(len(rest))] == [1, 1, 1, 1, 1, 1, 2, 1, 2, 0]
+    alone = replaced(spark, [card, iban, "DE89 3704 0044 0532 0130 00", "5500 0000 0000 0004"])
+    card, iban, other, second = (alone[i].text for i in range(4))
+    assert [got[i].text for i in range(8)] == [f"{card} 12/27", f"{card.replace(' ', '')} 123 x", f"12 34 {card} 12", f"{iban} EUR 50", f"{iban.replace(' ', '')} BIC ABCD", f"{other} USD", f"{card} {second}", f"1000 2000 {card}"]
+    assert got[8].text.startswith(f"{card} ") and not got[8].text.endswith("489 555 8583") and got[9].text == rest[9]
