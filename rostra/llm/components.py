@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostra.llm.common import cut
@@ -20,9 +20,9 @@ def _large_star(links: DataFrame) -> DataFrame:
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Every node hangs itself and its lower neighbours under the least of them; a node has as many as hubs met it."""
-    least = F.min("b").over(Window.partitionBy("a"))
-    pairs = links.withColumn("m", least).select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*")
-    return pairs.where("a <> b").distinct()
+    least = links.groupBy("a").agg(F.min("b").alias("m"))
+    lower = links.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return lower.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
 def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -41,4 +41,4 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
         links = cut(_small_star(_large_star(links)))
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    return cut(links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()))

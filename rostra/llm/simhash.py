@@ -31,42 +31,58 @@ def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
     return np.array([digest(joined[a:b], 42) for a, b in zip(starts[: len(starts) + 1 - shingle].tolist(), ends[shingle - 1 :].tolist())], "<u8")
 
 
-def _majority(hashes: np.ndarray) -> int:
-    """The bits that more than half of the hashes have; 0 for none."""
-    votes = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)]
-        votes += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")[0])
+def _majority(hashes: np.ndarray) -> np.ndarray:
+    """For each row of hashes the bits that more than half of them have; 0 for none."""
+    votes = np.zeros((len(hashes), BITS), np.int64)
+    for at in range(0, hashes.shape[1], 1 << 16):
+        part = np.ascontiguousarray(hashes[:, at : at + (1 << 16)])
+        votes += np.unpackbits(part.view(np.uint8).reshape(*part.shape, 8), axis=2, bitorder="little").sum(axis=1, dtype=np.int64)
+    return np.packbits(2 * votes > hashes.shape[1], axis=1, bitorder="little").view("<u8")[:, 0]
 
 
-def fingerprint(text: str | None, shingle: int = 4, once: bool = False) -> int:
-    """SimHash of the word shingles of a text, repeats included unless `once`; 0 if it has no word."""
-    hashes = shingle_hashes(text, shingle)
-    return _majority(np.unique(hashes) if once else hashes)
+def fingerprint(text: str | None, shingle: int = 4) -> int:
+    """SimHash of the word shingles of a text, repeats included; 0 if it has no word."""
+    return int(_majority(shingle_hashes(text, shingle)[None, :])[0])
 
 
-def with_fingerprint(docs: DataFrame, keep: list[str], shingle: int = 4, confirm: int | None = None) -> DataFrame:
-    """The columns `keep` of docs and the fingerprints fp and check, as signed longs.
+def word_fingerprints(text: str | None, families: int) -> np.ndarray:
+    """SimHashes of the set of words of a text: one for each of some families, whose hashes are mixed apart."""
+    own = np.array([xxhash.xxh64_intdigest(w, 42) for w in set(text.encode().lower().split())] if text else [], "<u8")
+    h = own[None, :] + np.arange(1, families + 1, dtype="<u8")[:, None] * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+    return _majority(h ^ (h >> np.uint64(31)))
 
-    With `confirm`, check is the fingerprint of shingles of so many words, and fp that of shingles that count
-    once each; shingles and size are a hash and the number of the different ones that check is made of. Else
-    check is 0.
+
+def with_fingerprint(docs: DataFrame, keep: list[str], shingle: int = 4) -> DataFrame:
+    """The columns `keep` of docs and the fingerprint fp of whole texts, as a signed long."""
+    schema = StructType([*docs.select(*keep).schema.fields, StructField("fp", LongType())])
+
+    def prints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = np.fromiter((fingerprint(x.as_py(), shingle) for x in batch.column(0)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fp.view(np.int64))], names=schema.names)
+
+    return docs.select("text", *keep).mapInArrow(prints, schema)
+
+
+def with_candidate_prints(docs: DataFrame, keep: list[str], families: int, shingle: int) -> DataFrame:
+    """The columns `keep` of docs, the fingerprints p0, p1, ... of the set of words, and check, shingles and size.
+
+    These are the fingerprint, a hash and the number of the different shingles of `shingle` words.
     """
-    extra = [StructField("shingles", LongType()), StructField("size", LongType())] if confirm else []
-    schema = StructType([*docs.select(*keep).schema.fields, StructField("fp", LongType()), StructField("check", LongType()), *extra])
+    names = [*(f"p{i}" for i in range(families)), "check", "shingles", "size"]
+    schema = StructType([*docs.select(*keep).schema.fields, *[StructField(n, LongType()) for n in names]])
 
     def prints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0)
-            fp = np.fromiter((fingerprint(x.as_py(), shingle, confirm is not None) for x in texts), np.uint64, len(texts))
-            check, own, size = np.zeros((3, len(texts)), np.uint64)
-            for i, x in enumerate(texts if confirm else []):
-                hashes = shingle_hashes(x.as_py(), confirm)
-                once = np.unique(hashes)
-                check[i], own[i], size[i] = _majority(hashes), xxhash.xxh64_intdigest(once.tobytes()), len(once)
-            new = [fp, check, own, size][: 4 if confirm else 2]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *[pa.array(x.view(np.int64)) for x in new]], names=schema.names)
+            out = np.zeros((batch.num_rows, len(names)), np.uint64)
+            for i, x in enumerate(batch.column(0)):
+                text = x.as_py()
+                once = np.unique(shingle_hashes(text, shingle))
+                out[i, :families] = word_fingerprints(text, families)
+                out[i, families:] = _majority(once[None, :])[0], xxhash.xxh64_intdigest(once.tobytes()), len(once)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *[pa.array(np.ascontiguousarray(c).view(np.int64)) for c in out.T]], names=schema.names)
 
     return docs.select("text", *keep).mapInArrow(prints, schema)
 
@@ -84,30 +100,45 @@ def covering_masks(radius: int, turn: int = 0) -> np.ndarray:
     return (odd.astype(np.uint64) << np.arange(BITS, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
-def _stars(points: np.ndarray, checks: np.ndarray, radius: int, apart: int) -> list[tuple[int, int]]:
-    """For each set of points that steps within both radii join, links (position) from its first to all others."""
-    label = np.arange(len(points))
+def _stars(parts: np.ndarray, points: np.ndarray, checks: np.ndarray, radius: int, apart: int) -> list[tuple[int, int]]:
+    """Links between the parts of some points that steps within both radii join: as many as join them, not one a pair."""
+    names, label = np.unique(parts, return_inverse=True)
+    open_, out = len(names) - 1, []
     for i in range(len(points) - 1):
-        near = i + 1 + np.flatnonzero((np.bitwise_count(points[i + 1 :] ^ points[i]) <= radius) & (np.bitwise_count(checks[i + 1 :] ^ checks[i]) <= apart))
+        if not open_:
+            break
+        near = i + 1 + np.flatnonzero((label[i + 1 :] != label[i]) & (np.bitwise_count(points[i + 1 :] ^ points[i]) <= radius) & (np.bitwise_count(checks[i + 1 :] ^ checks[i]) <= apart))
         for other in set(label[near].tolist()) - {int(label[i])}:
             low, high = sorted((other, int(label[i])))
             label[label == high] = low
-    return [(int(label[j]), j) for j in np.flatnonzero(label != np.arange(len(points))).tolist()]
+            out.append((int(names[low]), int(names[high])))
+            open_ -= 1
+    return out
 
 
-_LINK = ["a", "a_check", "b", "b_check", "bucket"]
+_LINK = ["a", "b", "bucket", "fp", "check"]
 
 
 def _links(radius: int, apart: int, most: int | None):
-    """Reads rows (bucket, fp, check) sorted by bucket; gives links a, b, or a and its bucket for the members of buckets above most."""
+    """Reads rows (bucket, part, fp, check) sorted by bucket; gives links a, b between parts, or, in a, the part of a point of a bucket above most, with the point.
+
+    Links that others of the task imply are left out, so a task gives fewer links than it meets parts.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.empty(0, np.int64)] * 3
+        held = [np.empty(0, np.int64)] * 4
         passing: int | None = None  # the bucket that is being handed on unsolved
+        above: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (y := above.get(x, x)) != x:
+                above[x] = above.get(y, y)
+                x = y
+            return x
 
         def solve(last: bool) -> tuple[pa.RecordBatch, int]:
             nonlocal passing
-            key, fp, check = held
+            key, part, fp, check = held
             starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
             ends = np.append(starts[1:], len(key))
             done = len(key) if last else int(starts[-1])
@@ -119,13 +150,14 @@ def _links(radius: int, apart: int, most: int | None):
                 large = most is not None and (size[k] > most or passing == key[s])
                 if large:
                     passing, done = int(key[s]), max(done, e)
-                    for column, values in zip(out, (fp[s:e].tolist(), check[s:e].tolist(), [None] * (e - s), [None] * (e - s), [passing] * (e - s))):
+                    for column, values in zip(out, (part[s:e].tolist(), [None] * (e - s), [passing] * (e - s), fp[s:e].tolist(), check[s:e].tolist())):
                         column += values
-                elif e <= done:
-                    f, c = fp[s:e], check[s:e]
-                    for i, j in _stars(f.view(np.uint64), c.view(np.uint64), radius, apart):
-                        for column, value in zip(out, (int(f[i]), int(c[i]), int(f[j]), int(c[j]), None)):
-                            column.append(value)
+                if e <= done:
+                    for a, b in _stars(part[s:e], fp[s:e].view(np.uint64), check[s:e].view(np.uint64), radius, apart):
+                        if (x := root(a)) != (y := root(b)):
+                            above[max(x, y)] = min(x, y)
+                            for column, value in zip(out, (a, b, None, None, None)):
+                                column.append(value)
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=_LINK), done
 
         for batch in batches:
@@ -140,49 +172,58 @@ def _links(radius: int, apart: int, most: int | None):
     return run
 
 
-def covering_links(points: DataFrame, radius: int = 4, apart: int = BITS, most: int = 4096, rounds: int = 4) -> DataFrame:
-    """Links a, a_check, b, b_check between points (distinct fp, check) such that all within both radii are joined, directly or by others.
+def _renamed(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """rows with the column part replaced by the component that found (node, component) has for it."""
+    now = found.select(F.col("node").alias("_was"), F.col("component").alias("_is"))
+    return rows.join(now, rows["part"] == now["_was"], "left").withColumn("part", F.coalesce("_is", "part")).drop("_was", "_is")
 
-    fp differs in `radius` bits at most, check in `apart`. Every point goes to one bucket of each table that
-    covers the radius of fp. A bucket is linked in one task, by a star for each set; the members of a bucket
-    of more than `most` go to the next round, where another covering divides the bucket by more of the bits.
-    After `rounds` so few bits are free that buckets are bounded.
-    """
-    found, left = None, points.select(F.lit(0).cast("long").alias("bucket"), "fp", "check")
-    for turn in range(rounds):
-        masks = [int(m) - (1 << 64) if m >= 1 << 63 else int(m) for m in covering_masks(radius, turn).tolist()]
-        tables = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(m).cast("long").alias("m")) for t, m in enumerate(masks)])).alias("x")
-        keyed = left.select("bucket", "fp", "check", tables).select(F.xxhash64("bucket", "x.t", F.col("fp").bitwiseAND(F.col("x.m")), F.lit(turn)).alias("bucket"), "fp", "check")
-        last = turn == rounds - 1
-        out = cut(keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_links(radius, apart, None if last else most), ", ".join(f"{n} long" for n in _LINK)))
-        links = out.where("bucket is null").drop("bucket")
-        found = links if found is None else found.unionByName(links)
-        left = out.where("bucket is not null").select("bucket", F.col("a").alias("fp"), F.col("a_check").alias("check"))
-        if last or left.isEmpty():
-            break
-    return found.distinct()
 
+def covering_parts(points: DataFrame, prints: list[str], radius: int = 4, apart: int = BITS, most: int = 4096, rounds: int = 4) -> DataFrame:
+    """node, part (the least node of its part) of points (node, check, and the fingerprints named in prints).
 
-def simhash_groups(docs: DataFrame, keep: list[str] | None = None, shingle: int = 4, radius: int = 4, confirm: int | None = None, apart: int = 16) -> DataFrame:
-    """doc_id (or the columns `keep`), fingerprint, node, component, component_id of every row of docs.
-
-    Fingerprints that differ in at most `radius` bits link; with `confirm` those of shingles of so many words
-    must also differ in at most `apart`, and the columns shingles and size of with_fingerprint are there too.
-    component_id is the smallest doc_id that links reach. Null and empty
-    texts have fingerprint 0 and link like any other; null ids are reached but never the smallest unless there
-    are no others; repeated rows and ids are kept; an empty table gives no rows. Copies meet as one
-    fingerprint before any pairing.
+    Points are joined, directly or by others, that differ in `radius` bits at most in any one of the prints,
+    and in `apart` at most in check. Each print has its turn: every point goes to one bucket of each table that
+    covers the radius, buckets are linked in one task, and the points learn their part. Only parts are linked,
+    so what one print has joined costs the next ones no more links. Of a bucket of more than `most` points
+    those that share a task are linked; if it is not one part then, its points go to a further round, where another
+    covering divides it by more of the bits. After `rounds` so few bits are free that buckets are bounded.
+    """
+    parts = points.select("node", F.col("node").alias("part"), "check", *prints)
+    for name in prints:
+        left = parts.select(F.lit(0).cast("long").alias("bucket"), "part", F.col(name).alias("fp"), "check")
+        for turn in range(rounds):
+            masks = [int(m) - (1 << 64) if m >= 1 << 63 else int(m) for m in covering_masks(radius, turn).tolist()]
+            tables = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(m).cast("long").alias("m")) for t, m in enumerate(masks)])).alias("x")
+            keyed = left.select("bucket", "part", "fp", "check", tables).select(F.xxhash64("bucket", "x.t", F.col("fp").bitwiseAND(F.col("x.m")), F.lit(turn)).alias("bucket"), "part", "fp", "check")
+            last = turn == rounds - 1
+            out = cut(keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_links(radius, apart, None if last else most), ", ".join(f"{n} long" for n in _LINK)))
+            found = connected_components(out.where("bucket is null").select("a", "b"))
+            parts = cut(_renamed(parts, found))
+            members = out.where("bucket is not null").select("bucket", F.col("a").alias("part"), "fp", "check")
+            if last or members.isEmpty():
+                break
+            members = cut(_renamed(members, found))
+            several = members.groupBy("bucket").agg((F.min("part") != F.max("part")).alias("several")).where("several").select("bucket")
+            left = members.join(several, "bucket", "left_semi")
+    return parts.select("node", "part")
+
+
+def simhash_groups(docs: DataFrame, keep: list[str] | None = None, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """doc_id (or the columns `keep`), fingerprint, component_id of every row of docs.
+
+    Fingerprints that differ in at most `radius` bits link. component_id is the smallest doc_id that links
+    reach. Null and empty texts have fingerprint 0 and link like any other; long texts count whole; null ids are
+    reached but never the smallest unless there are no others; repeated rows and ids are kept; an empty table
+    gives no rows; other columns are ignored. Copies meet as one fingerprint before any pairing.
     """
     keep = keep or ["doc_id"]
-    node = lambda fp, check: F.xxhash64(fp, check) if confirm else F.col(fp)
-    rows = cut(with_fingerprint(docs, keep, shingle, confirm))
-    points = cut(rows.groupBy("fp", "check").agg(F.min("doc_id").alias("least")).withColumn("node", node("fp", "check")))
-    links = covering_links(points, radius, apart if confirm else BITS).select(node("a", "a_check").alias("a"), node("b", "b_check").alias("b"))
-    parts = connected_components(links).withColumnRenamed("node", "of")
-    named = points.join(parts, points["node"] == parts["of"], "left").select("fp", "check", "node", "least", F.coalesce("component", "node").alias("component"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of = named.join(least, "component").select("fp", "check", "node", "component", "component_id")
-    return rows.join(of, ["fp", "check"]).select(*keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "node", "component", "component_id", *(["shingles", "size"] if confirm else []))
+    rows = cut(with_fingerprint(docs, keep, shingle))
+    points = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    parts = covering_parts(points.select(F.col("fp").alias("node"), "fp", F.lit(0).cast("long").alias("check")), ["fp"], radius)
+    named = points.join(parts, points["fp"] == parts["node"])
+    least = named.groupBy("part").agg(F.min("least").alias("component_id"))
+    of = named.join(least, "part").select("fp", "component_id")
+    return rows.join(of, "fp").select(*keep, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def near_links(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
@@ -271,26 +312,32 @@ def shingle_links(docs: DataFrame, members: DataFrame, shingle: int, least: floa
     return dealt.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high").mapInArrow(_near(least), "a long, b long")
 
 
-def keep_one(docs: DataFrame, shingle: int = 1, radius: int = 6, confirm: int = 5, apart: int = 16, least: float = 0.8, most: int = 1024) -> DataFrame:
+def keep_one(docs: DataFrame, families: int = 4, radius: int = 4, confirm: int = 5, apart: int = 18, least: float = 0.8, most: int = 1024) -> DataFrame:
     """docs with one row of each group of near copies: that of the smallest doc_id, then the smallest text hash.
 
     Two texts link if the sets of their five-word shingles have a Jaccard of `least` or more. Which texts are
-    compared is what their fingerprints say: texts whose fingerprints of words, which covering hashing finds,
-    and of five-word shingles are close are candidates, and all are compared that candidates join, directly or
-    by others. At a similarity of 0.8 the latter differ in 10 of 64 bits, give or take 3, and hardly ever in
-    more than 16. Columns stay. Of rows alike in doc_id and text one is kept, by its other columns' hash. Texts
-    without a word are one group. Only ids and hashes take part in the grouping, and the texts of candidates in
-    the comparison; the texts are joined once to the kept.
+    compared is what their fingerprints say: texts of which one of `families` fingerprints of the set of words,
+    which covering hashing finds, and that of five-word shingles are close are candidates, and all are compared
+    that candidates join, directly or by others. At a similarity of 0.8 the latter differ in 10 of 64 bits, give
+    or take 3, and hardly ever in more than 18; the former in 4, give or take 2, each for itself. Columns stay.
+    Of rows alike in doc_id and text one is kept, by its other columns' hash; a null doc_id only where a group
+    has no other. Texts without a word are one group; whole texts count; an empty table stays empty. Only ids
+    and hashes take part in the grouping, and the texts of candidates in the comparison; the texts are joined
+    once to the kept.
     """
     mark, own, kept_mark, n = (fresh(docs, x) for x in ("text_hash", "kept_id", "kept_hash", "rows_in_group"))
     marked = docs.withColumn(mark, F.xxhash64("text"))
     read = marked.select("doc_id", "text", F.col(mark).alias("text_hash"))
-    groups = cut(simhash_groups(read, ["doc_id", "text_hash"], shingle, radius, confirm, apart).select("doc_id", "text_hash", "component", "shingles", "size"))
     first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    nodes = cut(groups.groupBy("component", "shingles").agg(F.min(first).alias("k"), F.max("size").alias("size"), F.count("*").alias("n")))
-    members = nodes.select("component", "shingles", "size", F.col("k.doc_id").alias("own_id"), F.col("k.text_hash").alias("own_hash"))
-    parts = connected_components(shingle_links(read, members, confirm, least, most)).withColumnRenamed("component", "part")
-    whole = nodes.join(parts, nodes["shingles"] == parts["node"], "left").withColumn("part", F.coalesce("part", "shingles"))
+    prints = [f"p{i}" for i in range(families)]
+    rows = with_candidate_prints(read, ["doc_id", "text_hash"], families, confirm)
+    nodes = cut(rows.groupBy("shingles").agg(F.min(first).alias("k"), F.count("*").alias("n"), *[F.min(c).alias(c) for c in (*prints, "check", "size")]))
+    parts = covering_parts(nodes.withColumnRenamed("shingles", "node"), prints, radius, apart)
+    several = parts.groupBy("part").agg(F.count("*").alias("m")).where("m > 1").select("part")
+    grouped = parts.join(several, "part", "left_semi")
+    members = nodes.join(grouped, nodes["shingles"] == grouped["node"]).select(F.col("part").alias("component"), "shingles", "size", F.col("k.doc_id").alias("own_id"), F.col("k.text_hash").alias("own_hash"))
+    near = connected_components(shingle_links(read, cut(members), confirm, least, most)).withColumnRenamed("component", "part")
+    whole = nodes.join(near, nodes["shingles"] == near["node"], "left").withColumn("part", F.coalesce("part", "shingles"))
     kept = whole.groupBy("part").agg(F.min("k").alias("k"), F.sum("n").alias(n)).select(F.col("k.doc_id").alias(own), F.col("k.text_hash").alias(kept_mark), n)
     found = marked.join(kept, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(mark) == F.col(kept_mark)))
     # Only a group of several rows can hold the kept row twice.

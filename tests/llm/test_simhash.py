@@ -50,9 +50,8 @@ def test_links_join_what_is_near(spark, most):
     centres = [r.getrandbits(64) for _ in range(6)]
     points = sorted({c ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 5))) for c in centres for _ in range(30)} | {r.getrandbits(64) for _ in range(50)})
     signed = [p - (1 << 64) if p >> 63 else p for p in points]
-    df = spark.createDataFrame([(p, 0) for p in signed], "fp long, check long")
-    links = simhash.covering_links(df, 4, most=most).select("a", "b")
-    part = {x.node: x.component for x in connected_components(links).collect()}
+    df = spark.createDataFrame([(p, p, 0) for p in signed], "node long, fp long, check long")
+    part = {x.node: x.part for x in simhash.covering_parts(df, ["fp"], 4, most=most).collect()}
     mine = {}
     for p, g in zip(signed, groups(points, 4)):
         mine.setdefault(g, set()).add(part.get(p, p))
@@ -103,7 +102,7 @@ def test_keep_one_links_by_the_similarity_of_shingles(spark, blocks):
     r = random.Random(4)
     base = [" ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(2, 9))) for _ in range(300)) for _ in range(12)]
     far = [(a, edited(a, *range(20, 20 + 9 * 25, 25))) for a in base]
-    far = [(a, b) for a, b in far if (simhash.fingerprint(a, 1, True) ^ simhash.fingerprint(b, 1, True)).bit_count() <= 6 and (simhash.fingerprint(a, 5) ^ simhash.fingerprint(b, 5)).bit_count() <= 16]
+    far = [(a, b) for a, b in far if min(np.bitwise_count(simhash.word_fingerprints(a, 4) ^ simhash.word_fingerprints(b, 4))) <= 4 and (simhash.fingerprint(a, 5) ^ simhash.fingerprint(b, 5)).bit_count() <= 18]
     assert len(far) > 2 and all(0.6 < jaccard(a, b) < 0.8 for a, b in far)
     # each of a chain is near the next only, and both ends of one are far
     chain = [edited(base[0], *range(20, 20 + 25 * k, 25)) for k in range(9)]
@@ -114,6 +113,18 @@ def test_keep_one_links_by_the_similarity_of_shingles(spark, blocks):
     assert got == {*range(len(texts)), 100, 201}
 
 
+def test_a_large_group_of_near_copies_gives_few_links(spark, monkeypatch):
+    r = random.Random(12)
+    base = r.getrandbits(64)
+    points = sorted({base ^ sum(1 << b for b in r.sample(range(64), 2)) for _ in range(4000)})
+    signed = [p - (1 << 64) if p >> 63 else p for p in points]
+    seen, plain = [], simhash.connected_components
+    monkeypatch.setattr(simhash, "connected_components", lambda links: seen.append(links.count()) or plain(links))
+    df = spark.createDataFrame([(p, p, ~p, 0) for p in signed], "node long, fp long, other long, check long")
+    assert simhash.covering_parts(df, ["fp", "other"], 4, most=500).select("part").distinct().count() == 1
+    assert seen[0] <= 5 * len(points) and seen[-1] == 0
+
+
 def test_near_links_against_brute_force():
     r = random.Random(6)
     some = [frozenset(r.sample(range(40), r.randint(0, 30))) for _ in range(30)]
