@@ -127,9 +127,9 @@ def _anchor_rows(length: int, part: int = _PART):
         for keys, texts in _runs(batches):
             for group in _grouped(keys, texts, length, part):
                 own, at, begin, end, h = anchors([t for _, _, t in group], length)
-                around = np.fromiter((digest(group[o][2][b : e + length], (a - b) * 256 + a - e) for o, a, b, e in zip(own.tolist(), at.tolist(), begin.tolist(), end.tolist())), np.uint64, len(own))
+                around = np.fromiter((digest(group[o][2][b : e + length], (a - b) * 65536 + a - e) for o, a, b, e in zip(own.tolist(), at.tolist(), begin.tolist(), end.tolist())), np.uint64, len(own))
                 shift = np.array([p[1] for p in group], np.int64)[own]
-                place = (at + shift) << 16 | (at - begin) << 8 | (at - end)
+                place = (at + shift) << 32 | (at - begin) << 16 | (at - end)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(around.view(np.int64)), pa.array(np.array([p[0] for p in group], np.int64)[own]), pa.array(place)], names=["hash", "around", "key", "place"])
 
     return run
@@ -143,12 +143,12 @@ def _packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _span(place: int, length: int) -> tuple[int, int, int]:
     """Anchor, and begin and end of what the strings of an anchor cover."""
-    at, before, after = place >> 16, (place >> 8) & 255, place & 255
+    at, before, after = place >> 32, (place >> 16) & 65535, place & 65535
     return at, at - before, at - after + length
 
 
 def _surroundings(length: int):
-    """Reads (packed, wanted: array of hash, place); gives hash, key, place, and the bytes before (backwards) and from the anchor on."""
+    """Reads (packed, wanted: array of hash, place); gives group, key, place, and the bytes before (backwards) and from the anchor on."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -158,19 +158,22 @@ def _surroundings(length: int):
                 text = unpack(packed.as_py())
                 for w in wanted.as_py():
                     at, begin, end = _span(w["place"], length)
-                    out.append((w["hash"], key, w["place"], w["hot"], text[begin:at][::-1], text[at:end]))
-                if len(out) > 20_000:
-                    yield _rows(out)
-                    out = []
+                    out.append((w["hash"], 0, length - GRAM, w["place"], key, at, text[begin:at][::-1], text[at:end], w["hot"]))
+                    if len(out) > 20_000:
+                        yield _rows(out)
+                        out = []
             yield _rows(out)
 
     return run
 
 
+_AROUND = "group long, low int, high int, hull long, key long, at long, before binary, after binary, hot boolean"
+
+
 def _rows(out: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*out)) or [[]] * 6
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=["hash", "key", "place", "hot", "before", "after"])
+    cols = list(zip(*out)) or [[]] * 9
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=["group", "low", "high", "hull", "key", "at", "before", "after", "hot"])
 
 
 def _common(a: bytes, b: bytes) -> int:
@@ -216,7 +219,7 @@ def repeats_of(members: list[tuple[bytes, bytes]], length: int) -> list[tuple[in
 
 
 def _solve(length: int):
-    """Reads (hash, key, place, before, after) sorted by hash; gives key, start, end of repeated strings, and the repeat's own hash."""
+    """Reads (group, key, at, before, after) sorted by group; gives key, start, end of repeated strings, and the repeat's own hash."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -240,9 +243,11 @@ def _finish(rows: list[tuple], length: int, out: list[tuple]) -> None:
     if len(rows) < 2:
         return
     for i, left, right in repeats_of([(r[3], r[4]) for r in rows], length):
-        at = rows[i][2] >> 16
-        body = rows[i][3][:left][::-1] + rows[i][4][:right]
-        out.append((rows[i][1], at - left, at + right, xxhash.xxh64_intdigest(body) - (1 << 63)))
+        out.append((rows[i][1], rows[i][2] - left, rows[i][2] + right, _body_hash(rows[i][3][:left], rows[i][4][:right])))
+
+
+def _body_hash(before: bytes, after: bytes) -> int:
+    return xxhash.xxh64_intdigest(before[::-1] + after) - (1 << 63)
 
 
 def _spans(out: list[tuple]) -> pa.RecordBatch:
@@ -250,29 +255,65 @@ def _spans(out: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=["key", "start", "end", "repeat"])
 
 
-def _every_string(length: int):
-    """Each string of `length` of a row as its hash: for the anchors of very many surroundings."""
+def _divided(length: int):
+    """Rows of groups as rows of their two halves.
+
+    A group holds strings with low to high bytes before the anchor. Those of a half share at least its low bytes
+    before the anchor and length - high from it on, so rows that differ there have no string in common and part
+    company. A row takes along what the strings of the half cover, and its hash, the hull.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_128_intdigest
+        digest = xxhash.xxh64_intdigest
         for batch in batches:
             out: list[tuple] = []
-            for h, key, place, before, after in zip(*[c.to_pylist() for c in batch.columns]):
-                body, begin = before[::-1] + after, (place >> 16) - len(before)
-                for i in range(len(body) - length + 1):
-                    d = digest(body[i : i + length], h & 0xFFFFFFFF)
-                    out.append(((d & (1 << 64) - 1) - (1 << 63), (d >> 64) - (1 << 63), key, begin + i))
-                if len(out) > 50_000:
-                    yield _strings(out)
+            for group, low, high, _, key, at, before, after, hot in zip(*[c.to_pylist() for c in batch.columns]):
+                mid = (low + high) // 2
+                for a, b in ((low, mid), (mid + 1, high)):
+                    first, last = max(a, length - len(after)), min(b, len(before))
+                    if a > b or first > last:
+                        continue
+                    left, right = before[:last], after[: length - first]
+                    core = digest(after[: length - b], digest(before[:a], (group + a) & 0xFFFFFFFF))
+                    out.append((core - (1 << 63), a, b, digest(right, digest(left, first)) - (1 << 63), key, at, left, right, hot))
+                if len(out) > 20_000:
+                    yield _rows(out)
                     out = []
-            yield _strings(out)
+            yield _rows(out)
 
     return run
 
 
-def _strings(out: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*out)) or [[]] * 4
-    return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in cols], names=["a", "b", "key", "start"])
+def _hulls(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The whole of rows (key, at, before, after) that others have as well, as spans."""
+    for batch in batches:
+        yield _spans([(key, at - len(x), at + len(y), _body_hash(x, y)) for key, at, x, y in zip(*[c.to_pylist() for c in batch.columns])])
+
+
+def _scanned(around: DataFrame, length: int, most: int) -> DataFrame:
+    """key, start, end, repeat of the strings of `length` that different surroundings of an anchor have in common.
+
+    A group is scanned in one task. A group of more than `most` rows is divided first, by the bytes before the
+    anchor of its strings, until its parts are small or hold one string; rows that have all of a part in common go
+    on as one. Rows are few: a row has a part only where its neighbourhood is shared at all.
+    """
+    span = "key long, start long, end long, repeat long"
+    columns = ["group", "key", "at", "before", "after"]
+    scan = lambda rows: rows.select(*columns).repartition("group").sortWithinPartitions("group").mapInArrow(_solve(length), span)
+    found = scan(around.where("not hot"))
+    left = around.where("hot")
+    while not left.isEmpty():
+        parts = cut(left.mapInArrow(_divided(length), _AROUND))
+        alike = cut(parts.groupBy("group", "hull").agg(F.count("*").alias("n"), F.min(F.struct("key", "at")).alias("one")))
+        equal = parts.join(alike.where("n > 1").select("group", "hull"), ["group", "hull"], "left_semi")
+        found = found.unionByName(equal.select("key", "at", "before", "after").mapInArrow(_hulls, span))
+        sizes = alike.groupBy("group").agg(F.count("*").alias("m")).where("m > 1")
+        ones = alike.select("group", "hull", "one").join(sizes, "group").select("group", "hull", "one.key", "one.at", (F.col("m") > most).alias("crowded"))
+        kept = parts.drop("hot").join(ones, ["group", "hull", "key", "at"]).withColumnRenamed("crowded", "hot").select(*around.columns)
+        kept = cut(kept)
+        found = found.unionByName(scan(kept.where("not hot")))
+        left = kept.where("hot")
+    return found
 
 
 def maximal_repeats(docs: DataFrame, length: int = 200, most: int = 2000, part: int = _PART) -> DataFrame:
@@ -283,31 +324,26 @@ def maximal_repeats(docs: DataFrame, length: int = 200, most: int = 2000, part:
     have as their whole text is left to the caller. Together the occurrences cover exactly the bytes that a
     string of `length` covers which starts elsewhere too, in other texts or the same.
 
-    Surroundings that are equal from end to end are repeats as they stand and need no sorting. An anchor with
-    more than `most` different surroundings is not sorted in one task: its strings of `length`, the leaves at
-    that depth, are counted by hash with sums before the shuffle.
+    Surroundings that are equal from end to end are repeats as they stand and need no sorting. The others of an
+    anchor are sorted and scanned together; an anchor with more than `most` is divided by more of its context
+    until each part can be, see _scanned.
     """
+    if not GRAM <= length < (1 << 16):
+        raise ValueError(f"length must be {GRAM} to {(1 << 16) - 1}")
     texts = docs.select("key", "text")
-    again = texts.mapInArrow(_hash_counts(length, part), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
+    again = cut(texts.mapInArrow(_hash_counts(length, part), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash"))
     rows = texts.mapInArrow(_anchor_rows(length, part), "hash long, around long, key long, place long")
     shared = cut(rows.join(again, "hash", "left_semi"))
     one = F.struct("key", "place")
     groups = cut(shared.groupBy("hash", "around").agg(F.min(one).alias("first"), (F.min(one) != F.max(one)).alias("equal")))
     many = groups.groupBy("hash").agg(F.count("*").alias("m")).where("m > 1").select("hash", (F.col("m") > most).alias("hot"))
-    wanted = groups.join(many, "hash").groupBy("first.key").agg(F.collect_list(F.struct("hash", F.col("first.place").alias("place"), "hot")).alias("wanted"))
-    around = cut(texts.mapInArrow(_packed, "key long, packed binary").join(wanted, "key").select("key", "packed", "wanted").mapInArrow(_surroundings(length), "hash long, key long, place long, hot boolean, before binary, after binary").dropDuplicates(["hash", "key", "place"]))
-    parts = around.where("not hot").select("hash", "key", "place", "before", "after")
-    met = parts.repartition("hash").sortWithinPartitions("hash").mapInArrow(_solve(length), "key long, start long, end long, repeat long")
-
-    strings = around.where("hot").select("hash", "key", "place", "before", "after").mapInArrow(_every_string(length), "a long, b long, key long, start long")
-    where = F.struct("key", "start")
-    twice = strings.groupBy("a", "b").agg((F.min(where) != F.max(where)).alias("twice")).where("twice").select("a", "b")
-    crowd = strings.join(twice, ["a", "b"]).select("key", "start", (F.col("start") + length).alias("end"), F.col("a").alias("repeat"))
+    wanted = groups.join(cut(many), "hash").groupBy("first.key").agg(F.collect_list(F.struct("hash", F.col("first.place").alias("place"), "hot")).alias("wanted"))
+    around = cut(texts.mapInArrow(_packed, "key long, packed binary").join(wanted, "key").select("key", "packed", "wanted").mapInArrow(_surroundings(length), _AROUND).dropDuplicates(["group", "key", "hull"]))
 
     # All with equal surroundings repeat each other over the whole of them.
-    at, before, after = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(F.lit(255)), F.col("place").bitwiseAND(F.lit(255))
+    at, before, after = F.shiftright("place", 32), F.shiftright("place", 16).bitwiseAND(F.lit(65535)), F.col("place").bitwiseAND(F.lit(65535))
     whole = shared.join(groups.where("equal").select("hash", "around"), ["hash", "around"], "left_semi").select("key", (at - before).alias("start"), (at - after + length).alias("end"), F.col("around").alias("repeat"))
-    return whole.unionByName(met).unionByName(crowd)
+    return whole.unionByName(_scanned(around, length, most))
 
 
 def _cleaned(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

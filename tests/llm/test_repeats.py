@@ -75,3 +75,16 @@ def test_long_texts_in_parts_against_brute_force(spark, monkeypatch, most):
     got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in repeats.remove_repeats(docs).collect()}
     assert [got[i] for i in range(len(texts))] == expected(texts, 200)
     assert got[0][1] == 0 and got[4][1] >= 500
+
+
+def test_a_passage_among_many_texts_is_divided(spark, monkeypatch):
+    scan, made = repeats.maximal_repeats, []
+    monkeypatch.setattr(repeats, "maximal_repeats", lambda docs, length: made.append(scan(docs, length, 50)) or made[-1])
+    r = random.Random(13)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage = text(420)
+    texts = [text(r.randint(0, 300)) + passage + text(r.randint(0, 300)) for _ in range(400)] + [text(50) + passage[60:330] + text(90) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in repeats.remove_repeats(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == expected(texts, 200)
+    assert made[0].count() < 40 * len(texts)
