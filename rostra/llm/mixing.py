@@ -37,6 +37,11 @@ def _chance(*of: Column) -> Column:
     return F.pmod(F.xxhash64(*of), F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
+def _drawn(*of: Column) -> list[Column]:
+    """A unit's place among those of its size, and its draw: two numbers that have nothing to do with each other."""
+    return [_chance(F.lit("place"), *of).alias("place"), _chance(F.lit("draw"), *of).alias("chance")]
+
+
 #: One merge of a chunk's running residual `a` with the next unit `x`; v holds both and the chance. A unit has
 #: a size, and a mass: its size times the probability of an additional copy. Mass moves from one to the other
 #: until one of them has none or all; the direction's chance keeps both expected masses as they were.
@@ -54,15 +59,16 @@ _STEP = """
 
 
 def _round_chunks(units: DataFrame, unit: str) -> DataFrame:
-    """Rounds the units (source, chunk, unit, size, mass, chance) of each chunk but one, the residual.
+    """Rounds the units (source, chunk, unit, size, mass, place, chance) of each chunk but one, the residual.
 
-    Large units come first, so that the residual tends to be a small one.
+    Large units come first, so that the residual tends to be a small one; those of a size go by `place`. The draw,
+    `chance`, must not depend on the order, else a unit's turn would tell its fate.
     Gives source, chunk, done (array of unit and up) and the residual's unit, size and mass.
     """
     start = f"named_struct('unit', cast(null as {unit}), 'size', 0D, 'mass', 0D, 'done', cast(array() as array<struct<unit:{unit},up:int>>))"
     return (
         units.groupBy("source", "chunk")
-        .agg(F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("rank"), "chance", "unit", "size", "mass"))).alias("units"))
+        .agg(F.sort_array(F.collect_list(F.struct((-F.col("size")).alias("rank"), "place", "unit", "size", "mass", "chance"))).alias("units"))
         .select("source", "chunk", F.expr(f"aggregate(units, {start}, {_STEP})").alias("r"))
         .select("source", "chunk", "r.done", "r.unit", "r.size", "r.mass")
     )
@@ -77,7 +83,8 @@ def mix_counts(docs: DataFrame, size: Column, weights: tuple[int, ...] = (5, 2,
     one residual each, the residuals of a source meet in chunks of the next level, up to one chunk, whose
     residual is rounded by chance. So a source's taken size differs from its target by less than its
     largest document. Chance comes from doc_id, size and seed only: reruns agree. Documents of size 0 are
-    taken by whole parts alone; null sources are one source.
+    taken by whole parts alone; null sources are one source, null ids one id; long texts count by all their words;
+    an empty table gives no rows; other columns are ignored.
     """
     alike = cut(docs.select("source", "doc_id", size.alias("size")).groupBy("source", "doc_id", "size").agg(F.count("*").alias("rows")))
     sources = source_targets(alike.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count("*").alias("units")).withColumnRenamed("units", "n"), weights, most)
@@ -94,18 +101,18 @@ def mix_counts(docs: DataFrame, size: Column, weights: tuple[int, ...] = (5, 2,
         .withColumn("mass", F.greatest(F.lit(0.0), F.col("expected") - F.col("whole")) * F.col("size"))
         .withColumn("open", F.col("mass") > F.col("size") * EXACT)
     )
-    kind = "struct<doc_id:bigint,size:bigint,rows:bigint,whole:bigint,source_size:bigint,target:double>"
-    unit = F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), "size", "rows", "whole", "source_size", "target")
+    kind = f"struct<doc_id:{docs.schema['doc_id'].dataType.simpleString()},size:bigint,rows:bigint,whole:bigint,source_size:bigint,target:double>"
+    unit = F.struct("doc_id", "size", "rows", "whole", "source_size", "target")
     level = cut(
         _round_chunks(
-            planned.where("open").select("source", "chunk", unit.alias("unit"), F.col("size").cast("double").alias("size"), "mass", _chance(F.lit(seed), "doc_id", "size").alias("chance")), kind
+            planned.where("open").select("source", "chunk", unit.alias("unit"), F.col("size").cast("double").alias("size"), "mass", *_drawn(F.lit(seed), "doc_id", "size")), kind
         )
     )
     levels, chunks = [level], -(-largest // fan)
     while chunks > 1:
         chunks = -(-chunks // fan)
         upper = F.pmod(F.xxhash64("chunk", F.lit(seed + len(levels))), F.lit(chunks))
-        levels.append(cut(_round_chunks(levels[-1].select("source", upper.alias("chunk"), F.col("chunk").alias("unit"), "size", "mass", _chance(F.lit(seed + len(levels)), "source", "chunk").alias("chance")), "bigint")))
+        levels.append(cut(_round_chunks(levels[-1].select("source", upper.alias("chunk"), F.col("chunk").alias("unit"), "size", "mass", *_drawn(F.lit(seed + len(levels)), "source", "chunk")), "bigint")))
 
     top = levels[-1]
     fate = top.select("source", "chunk", (_chance(F.lit(seed), F.lit("top"), "source") * F.col("size") < F.col("mass")).cast("int").alias("up"))

@@ -93,8 +93,41 @@ def test_mix_repeats_rows(spark):
 
 
 def test_rounding_keeps_the_expected_mass(spark):
-    units = spark.createDataFrame([("s", 0, i, float(1 + i % 5), (1 + i % 5) * 0.3, (i * 37 % 101) / 101) for i in range(50)], "source string, chunk long, unit long, size double, mass double, chance double")
+    units = spark.createDataFrame([("s", 0, i, float(1 + i % 5), (1 + i % 5) * 0.3, i / 50, (i * 37 % 101) / 101) for i in range(50)], "source string, chunk long, unit long, size double, mass double, place double, chance double")
     r = mixing._round_chunks(units, "bigint").first()
     size = {i: 1 + i % 5 for i in range(50)}
     assert len(r.done) == 49
     assert sum(size[d.unit] * d.up for d in r.done) + r.mass == pytest.approx(sum(s * 0.3 for s in size.values()))
+
+
+def test_each_document_is_taken_as_often_as_its_probability_says(spark):
+    # Some hundred sources of the same make: their draws are independent, so each place in a source has a frequency.
+    words = [200, *[20] * 6, *[2] * 33]
+    rows = [(s * 100 + i, "w " * n, f"s{s:04d}") for s in range(600) for i, n in enumerate(words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix_manifest(docs, fan=16).collect()
+    taken = {}
+    for r in got:
+        taken.setdefault((round(r.target / r.source_size, 6), r.doc_id % 100), []).append(r.copies)
+    ratios = {k for k, _ in taken}
+    assert len(ratios) == 3 and all(0.05 < k % 1 < 0.95 for k in ratios)
+    off = []
+    for (ratio, i), copies in taken.items():
+        p, n = ratio % 1, len(copies)
+        assert n == 200 and set(copies) <= {int(ratio), int(ratio) + 1}
+        off.append((sum(copies) / n - ratio) / (p * (1 - p) / n) ** 0.5)
+    # 120 frequencies: beyond 3 standard errors by chance one in 370, beyond 4.5 one in 150,000
+    assert max(map(abs, off)) < 4.5 and sum(abs(x) > 3 for x in off) <= 2
+
+
+def test_no_python_in_the_plan_of_the_mix(spark, capsys):
+    docs = spark.createDataFrame([(1, "a b", "s"), (2, "c", None)], "doc_id long, text string, source string")
+    mixing.mix_manifest(docs).explain()
+    mixing.mix(docs).explain()
+    plan = capsys.readouterr().out
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
+
+
+def test_mix_of_text_ids(spark):
+    docs = spark.createDataFrame([(f"d{i}", "a b c", f"s{i % 2}") for i in range(40)], "doc_id string, text string, source string")
+    assert mixing.mix_manifest(docs).count() == 40 and mixing.mix(docs).columns == docs.columns
