@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rostra.llm.common import fresh
+
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 
 #: Characters of an IBAN, by country (SWIFT registry).
@@ -32,12 +34,16 @@ _FOURS = r"\d{4}(?:[ -]\d{4}){3,12}(?:[ -]\d{1,3}(?![ .-]\d{3}[ .-]\d{4}))?"
 _SHAPES = rf"{_FOURS}|\d{{4}}[ -]\d{{6}}[ -]\d{{4,5}}|\d{{13,19}}"
 _CARD_END = r"(?!\w|[.-]\d)"
 
+#: Country codes of one and of two digits; all others have three.
+_SHORT_CODES = {1: "7", 2: "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"}
+
 #: What is looked at, in the order in which alternatives are tried; each is validated before it is replaced.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9](?:[A-Za-z0-9.-]*[A-Za-z0-9])?\.[A-Za-z]{2,}",
     "iban": rf"(?<![A-Za-z0-9])(?:(?:{'|'.join(_iban(*x) for x in _IBAN_LENGTHS.items())})(?![A-Za-z0-9])|[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])",
     "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d)",
     "phone": r"(?<![\w.(+-])(?:\+?1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
+    "abroad": r"(?<![\w.(+-])(?:\+[2-9]\d{0,2}(?:[ .-]?\d){6,13}|0[1-9](?:[ .-]\d{2}){4}|0[1-9]\d{1,3}[/ -]\d{5,9}|[6-9]\d{2}[ -]\d{3}[ -]\d{3})(?!\w|[.-]\d)",
     "ssn": r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
     "card": rf"(?<![\w.])(?:(?:{_SHAPES}){_CARD_END}|\d(?:(?:[ -](?!(?:{_SHAPES}){_CARD_END}))?\d){{12,18}}){_CARD_END}",
@@ -56,8 +62,8 @@ def _prf(of: str, below: str) -> str:
 def _permuted(left: str, right: str, a: str, b: str, tweak: str, back: str, rounds: int = 10) -> str:
     """Feistel rounds on a pair of numbers below a and b, by turns; `back` makes the result of s.l and s.r."""
     return f"""aggregate(sequence(1, {rounds}), named_struct('l', cast({left} as bigint), 'r', cast({right} as bigint)), (s, i) ->
-      if(i % 2 = 1, named_struct('l', pmod(s.l + {_prf(f"'{tweak}', i, s.r, {a}", a)}, {a}), 'r', s.r),
-                    named_struct('l', s.l, 'r', pmod(s.r + {_prf(f"'{tweak}', i, s.l, {b}", b)}, {b}))), s -> {back})"""
+      if(i % 2 = 1, named_struct('l', pmod(s.l + {_prf(f"{tweak}, i, s.r, {a}", a)}, {a}), 'r', s.r),
+                    named_struct('l', s.l, 'r', pmod(s.r + {_prf(f"{tweak}, i, s.l, {b}", b)}, {b}))), s -> {back})"""
 
 
 def _let(name: str, value: str, body: str) -> str:
@@ -105,12 +111,12 @@ def _name(x: str) -> str:
 
 def _replacements() -> dict[str, str]:
     """For each kind the pseudonym of x, or null where x is not valid."""
-    card = _let("d", _DIGITS, f"if({_luhn('d', 0)} = 0, {_let('p', _digit_string('substr(d, 1, length(d) - 1)', 'card'), _let('n', f'concat(p, cast((10 - {_luhn('p', 1)}) % 10 as string))', _refill('x', 'n')))}, null)")
+    card = _let("d", _DIGITS, f"if({_luhn('d', 0)} = 0, {_let('p', _digit_string('substr(d, 1, length(d) - 1)', "'card'"), _let('n', f'concat(p, cast((10 - {_luhn('p', 1)}) % 10 as string))', _refill('x', 'n')))}, null)")
     bban = "substr(v, 5)"
     iban = _let(
         "v", "replace(x, ' ', '')",
         f"if(length(v) between 15 and 34 and {_mod97(f'concat({bban}, substr(v, 1, 4))')} = 1 and length(regexp_replace({bban}, '[^0-9]', '')) >= 2, "
-        + _let("n", _let("d", f"regexp_replace({bban}, '[^0-9]', '')", _let("p", _digit_string("d", "iban"), _refill(bban, "p"))),
+        + _let("n", _let("d", f"regexp_replace({bban}, '[^0-9]', '')", _let("p", _digit_string("d", "'iban'"), _refill(bban, "p"))),
                _let("w", f"concat(substr(v, 1, 2), lpad(cast(98 - {_mod97("concat(n, substr(v, 1, 2), '00')")} as string), 2, '0'), n)",
                     "array_join(transform(sequence(1, length(x)), i -> if(substr(x, i, 1) = ' ', ' ', substr(w, length(replace(substr(x, 1, i), ' ', '')), 1))), '')"))
         + ", null)",
@@ -120,7 +126,7 @@ def _replacements() -> dict[str, str]:
         "d", f"right({_DIGITS}, 10)",
         "if(substr(d, 1, 1) >= '2' and substr(d, 4, 1) >= '2', "
         + _let("v", "(cast(substr(d, 1, 3) as bigint) - 200) * 8000000 + (cast(substr(d, 4, 3) as bigint) - 200) * 10000 + cast(substr(d, 7) as bigint)",
-               _let("w", _permuted("v div 80000", "v % 80000", "80000L", "80000L", "phone", "s.l * 80000 + s.r"),
+               _let("w", _permuted("v div 80000", "v % 80000", "80000L", "80000L", "'phone'", "s.l * 80000 + s.r"),
                     _let("n", f"concat(if(length({_DIGITS}) > 10, '1', ''), cast(200 + w div 8000000 as string), cast(200 + (w div 10000) % 800 as string), lpad(cast(w % 10000 as string), 4, '0'))", _refill("x", "n"))))
         + ", null)",
     )
@@ -129,25 +135,35 @@ def _replacements() -> dict[str, str]:
         "d", _DIGITS,
         "if(substr(d, 1, 3) not in ('000', '666') and d < '9' and substr(d, 4, 2) <> '00' and substr(d, 6) <> '0000', "
         + _let("a", "cast(substr(d, 1, 3) as bigint) - if(substr(d, 1, 3) > '666', 2, 1)",
-               _let("w", _permuted("a * 99 + cast(substr(d, 4, 2) as bigint) - 1", "cast(substr(d, 6) as bigint) - 1", "88902L", "9999L", "ssn", "s.l * 10000 + s.r + 1"),
+               _let("w", _permuted("a * 99 + cast(substr(d, 4, 2) as bigint) - 1", "cast(substr(d, 6) as bigint) - 1", "88902L", "9999L", "'ssn'", "s.l * 10000 + s.r + 1"),
                     "concat(lpad(cast((w div 990000) + if(w div 990000 >= 665, 2, 1) as string), 3, '0'), '-', lpad(cast((w div 10000) % 99 + 1 as string), 2, '0'), '-', lpad(cast(w % 10000 as string), 4, '0'))"))
         + ", null)",
     )
     o = [f"cast(split(x, '[.]')[{i}] as bigint)" for i in range(4)]
-    ip = _permuted(f"{o[0]} * 256 + {o[1]}", f"{o[2]} * 256 + {o[3]}", "65536L", "65536L", "ip", "concat_ws('.', s.l div 256, s.l % 256, s.r div 256, s.r % 256)")
-    # The 146097 days of the years 1800 to 2199 are 27 times 5411.
-    iso = """case when x rlike '^[0-9]{4}-' then x when x rlike '/' then concat_ws('-', substr(x, 7), substr(x, 1, 2), substr(x, 4, 2))
+    ip = _permuted(f"{o[0]} * 256 + {o[1]}", f"{o[2]} * 256 + {o[3]}", "65536L", "65536L", "'ip'", "concat_ws('.', s.l div 256, s.l % 256, s.r div 256, s.r % 256)")
+    # Country code and first digit of the national number stay, which also decide, with the length, about the rest.
+    # A national form counts as of the country that writes numbers so: pairs as in France, threes as in Spain, else Germany.
+    code = "case " + " ".join(f"when substr(d, 1, {n}) in ({', '.join(repr(c) for c in codes.split())}) then {n}" for n, codes in _SHORT_CODES.items()) + " else 3 end"
+    full = "case when x rlike '^[+]' then d when d not rlike '^0' then concat('34', d) when x rlike '^0[1-9]([ .-][0-9]{2}){4}$' then concat('33', substr(d, 2)) else concat('49', substr(d, 2)) end"
+    inner = _let("c", code.replace("substr(d,", "substr(f,"), _let("t", "substr(f, 1, c + 1)", _let("p", _digit_string("substr(f, c + 2)", "'abroad', t"), _let("n", "concat(if(x rlike '^[+]', t, if(x rlike '^0', concat('0', right(t, 1)), right(t, 1))), p)", _refill("x", "n")))))
+    abroad = _let("d", _DIGITS, _let("f", full, f"if(length(f) between 9 and 15, {inner}, null)"))
+    # The 146097 days of the years 1800 to 2199 are 27 times 5411. With slashes the month comes first, unless it can't;
+    # then days are walked until one comes that can't be a month either, so both readings are permuted apart.
+    iso = """case when x rlike '^[0-9]{4}-' then x when x rlike '/' and substr(x, 1, 2) <= '12' then concat_ws('-', substr(x, 7), substr(x, 1, 2), substr(x, 4, 2))
       else concat_ws('-', substr(x, 7), substr(x, 4, 2), substr(x, 1, 2)) end"""
+    moved = lambda v: _permuted(f"{v} div 5411", f"{v} % 5411", "27L", "5411L", "'date'", "s.l * 5411 + s.r")
+    of = lambda v: f"date_add(date'1800-01-01', cast({v} as int))"
+    walked = f"aggregate(sequence(1, 100), cast(v as bigint), (w, n) -> if(n > 1 and day({of('w')}) > 12, w, {moved('w')}))"
     date = _let(
         "y", f"try_cast({iso} as date)",
         "if(y is null or year(y) not between 1800 and 2199, null, "
-        + _let("v", "datediff(y, date'1800-01-01')",
-               _let("w", f"date_add(date'1800-01-01', cast({_permuted('v div 5411', 'v % 5411', '27L', '5411L', 'date', 's.l * 5411 + s.r')} as int))",
-                    "case when x rlike '^[0-9]{4}-' then date_format(w, 'yyyy-MM-dd') when x rlike '/' then date_format(w, 'MM/dd/yyyy') else date_format(w, 'dd.MM.yyyy') end"))
+        + _let("v", "cast(datediff(y, date'1800-01-01') as bigint)",
+               f"case when x rlike '^[0-9]{{4}}-' then date_format({of(moved('v'))}, 'yyyy-MM-dd') when x rlike '[.]' then date_format({of(moved('v'))}, 'dd.MM.yyyy') "
+               f"when substr(x, 1, 2) <= '12' then date_format({of(moved('v'))}, 'MM/dd/yyyy') else date_format({of(walked)}, 'dd/MM/yyyy') end")
         + ")",
     )
     email = f"concat({_name("substring_index(x, '@', 1)")}, '@', substring_index(x, '@', -1))"
-    return {"email": email, "iban": iban, "date": date, "phone": phone, "ssn": ssn, "ip": ip, "card": card}
+    return {"email": email, "iban": iban, "date": date, "phone": phone, "abroad": abroad, "ssn": ssn, "ip": ip, "card": card}
 
 
 #: Round a value while a text is cut; escaped where a text has them itself.
@@ -187,22 +203,28 @@ def with_pseudonyms(docs: DataFrame, key: str, column: str = "text") -> DataFram
     """docs with the personal data in a text column replaced, and n_replaced, their number.
 
     Recognised are e-mail addresses (the part before the @ moves letter by letter), IBANs (mod 97), calendar
-    dates of 1800 to 2199 (with slashes: month first), phone numbers of the North American plan, social security numbers, IPv4 addresses
-    and card numbers (Luhn); values that fail their check stay. Of a run of numbers or capitals that fails
-    as a whole, the valid parts between separators are replaced, the longest first from the left. Separators, length, classes of characters
-    and check digits are kept. A null text stays null, an empty one empty; repeated rows and ids don't
-    matter; other columns pass through, one called n_replaced is replaced. The key must be kept secret.
+    dates of 1800 to 2199 (with slashes: month first, or day first where only that gives a date), phone numbers
+    of the North American plan, of other countries behind a + and as written in France, Spain and Germany, social
+    security numbers, IPv4 addresses and card numbers (Luhn); values that fail their check stay. Of a run of
+    numbers or capitals that fails as a whole, the valid parts between separators are replaced, the longest first
+    from the left. Separators, length, classes of characters and check digits are kept. A null text stays null, an
+    empty one empty; whole texts are read, at a cost in proportion to their length; repeated rows and ids don't
+    matter; an empty table stays empty; other columns pass through, whatever their names; one called n_replaced is
+    replaced. The key comes from a table of one row, so it is in no plan, and in no column of the result.
     """
     raw = F.col(f"`{column}`")
+    runs, cut_up, secret, new_ones = (fresh(docs, x) for x in ("runs", "parts", "secret", "new"))
     plain = F.replace(F.replace(raw, F.lit(_ESCAPE), F.lit(_ESCAPE + "b")), F.lit(_MARK), F.lit(_ESCAPE + "a"))
     parts = F.when(raw.rlike("[0-9@]"), F.split(F.regexp_replace(plain, f"({_ANY})", f"{_MARK}$1{_MARK}"), _MARK)).otherwise(F.array(plain))
     cases = " ".join(f"when x rlike '^(?:{_sql(p)})$' then {_replacements()[kind]}" for kind, p in _whole().items())
     names = docs.columns
-    held = docs.withColumn("_runs", parts).withColumn("_parts", F.expr(f"flatten(transform(_runs, (x, at) -> if(at % 2 = 1, {_inner()}, array(x))))"))
-    held = held.withColumn("_key", F.lit(key))
-    new = F.expr(f"transform(_parts, (x, at) -> if(at % 2 = 1, element_at(transform(array(_key), k -> case {cases} end), 1), null))")
-    held = held.withColumn("_new", new)
-    joined = F.expr("array_join(transform(_parts, (x, at) -> coalesce(_new[at], x)), '')")
+    held = docs.withColumn(runs, parts).withColumn(cut_up, F.expr(f"flatten(transform(`{runs}`, (x, at) -> if(at % 2 = 1, {_inner()}, array(x))))"))
+    held = held.withColumn(secret, docs.sparkSession.createDataFrame([(key,)], "k string").scalar())
+    new = F.expr(f"transform(`{cut_up}`, (x, at) -> if(at % 2 = 1, element_at(transform(array(`{secret}`), k -> case {cases} end), 1), null))")
+    held = held.withColumn(new_ones, new)
+    joined = F.expr(f"array_join(transform(`{cut_up}`, (x, at) -> coalesce(`{new_ones}`[at], x)), '')")
     back = F.replace(F.replace(joined, F.lit(_ESCAPE + "a"), F.lit(_MARK)), F.lit(_ESCAPE + "b"), F.lit(_ESCAPE))
-    count = F.coalesce(F.expr("cast(size(filter(_new, y -> y is not null)) as bigint)"), F.lit(0))
-    return held.withColumn("n_replaced", F.when(raw.isNull(), F.lit(0).cast("long")).otherwise(count)).withColumn(column, F.when(raw.isNotNull(), back)).select(*[f"`{n}`" for n in names if n != "n_replaced"], "n_replaced")
+    count = F.coalesce(F.expr(f"cast(size(filter(`{new_ones}`, y -> y is not null)) as bigint)"), F.lit(0))
+    n = fresh(docs, "n_found")
+    done = held.withColumn(n, F.when(raw.isNull(), F.lit(0).cast("long")).otherwise(count)).withColumn(column, F.when(raw.isNotNull(), back))
+    return done.select(*[F.col(f"`{x}`") for x in names if x.lower() != "n_replaced"], F.col(n).alias("n_replaced"))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import hashlib
 import re
 
 from rostra.llm import pii
@@ -69,3 +70,84 @@ def test_values_followed_by_numbers_and_capitals(spark):
     card, iban, other, second = (alone[i].text for i in range(4))
     assert [got[i].text for i in range(8)] == [f"{card} 12/27", f"{card.replace(' ', '')} 123 x", f"12 34 {card} 12", f"{iban} EUR 50", f"{iban.replace(' ', '')} BIC ABCD", f"{other} USD", f"{card} {second}", f"1000 2000 {card}"]
     assert got[8].text.startswith(f"{card} ") and not got[8].text.endswith("489 555 8583") and got[9].text == rest[9]
+
+
+def test_the_key_stays_secret(spark, capsys):
+    docs = spark.createDataFrame([(1, TEXTS[0], "a", "b", "c", "d", "e", "f")], "doc_id long, text string, _key string, _parts string, _new string, secret string, parts string, n_found string")
+    got = pii.with_pseudonyms(docs, "TOPSECRET")
+    assert got.columns == [*docs.columns, "n_replaced"]
+    row = got.first()
+    assert row[2:8] == ("a", "b", "c", "d", "e", "f") and "TOPSECRET" not in str(row) and row.n_replaced == 2
+    got.explain(True)
+    assert "TOPSECRET" not in capsys.readouterr().out
+    assert "TOPSECRET" not in got._jdf.queryExecution().toString()
+    assert pii.with_pseudonyms(docs.limit(0), "TOPSECRET").count() == 0
+
+
+def plain_pair(left: int, right: int, a: int, b: int, tweak: str, key: str) -> tuple[int, int]:
+    """A Feistel network on two numbers below a and b, written out."""
+    prf = lambda i, half, below: int(hashlib.sha256(f"{key}|{tweak}|{i}|{half}|{below}".encode()).hexdigest()[:15], 16) % below
+    for i in range(1, 11):
+        if i % 2:
+            left = (left + prf(i, right, a)) % a
+        else:
+            right = (right + prf(i, left, b)) % b
+    return left, right
+
+
+def plain_digits(d: str, tweak: str, key: str) -> str:
+    u = len(d) // 2
+    v = len(d) - u
+    left, right = plain_pair(int(d[:u]), int(d[u:]), 10**u, 10**v, tweak, key)
+    return f"{left:0{u}d}{right:0{v}d}"
+
+
+def test_against_a_plain_feistel_network(spark):
+    key = "some key"
+    first, days = datetime.date(1800, 1, 1), lambda d: (d - datetime.date(1800, 1, 1)).days
+    moved = lambda n: (lambda p: p[0] * 5411 + p[1])(plain_pair(n // 5411, n % 5411, 27, 5411, "date", key))
+    day = lambda n: first + datetime.timedelta(n)
+    card = plain_digits("411111111111111", "card", key)
+    check = next(c for c in "0123456789" if luhn(card + c))
+    walk = moved(days(datetime.date(2020, 5, 25)))
+    while day(walk).day <= 12:
+        walk = moved(walk)
+    v = 289 * 8000000 + 355 * 10000 + 8583
+    left, right = plain_pair(v // 80000, v % 80000, 80000, 80000, "phone", key)
+    w = left * 80000 + right
+    a, b = plain_pair(97 * 256 + 60, 249 * 256 + 90, 65536, 65536, "ip", key)
+    s1, s2 = plain_pair(122 * 99 + 44, 6788, 88902, 9999, "ssn", key)
+    area = s1 // 99 + 1
+    paris, berlin = plain_digits("23456789", "abroad|331", key), plain_digits("0123456", "abroad|493", key)
+    madrid = plain_digits("12345678", "abroad|346", key)
+    want = {
+        "4111111111111111": card + check,
+        "2020-05-25": day(moved(days(datetime.date(2020, 5, 25)))).isoformat(),
+        "25.05.2020": day(moved(days(datetime.date(2020, 5, 25)))).strftime("%d.%m.%Y"),
+        "05/25/2020": day(moved(days(datetime.date(2020, 5, 25)))).strftime("%m/%d/%Y"),
+        "25/05/2020": day(walk).strftime("%d/%m/%Y"),
+        "489 555-8583": f"{200 + w // 8000000} {200 + w // 10000 % 800}-{w % 10000:04d}",
+        "97.60.249.90": f"{a // 256}.{a % 256}.{b // 256}.{b % 256}",
+        "123-45-6789": f"{area + (area >= 666):03d}-{s1 % 99 + 1:02d}-{s2 + 1:04d}",
+        "+33 1 23 45 67 89": f"+33 1 {paris[:2]} {paris[2:4]} {paris[4:6]} {paris[6:]}",
+        "01.23.45.67.89": f"01.{paris[:2]}.{paris[2:4]}.{paris[4:6]}.{paris[6:]}",
+        "+49 30 123456": f"+49 3{berlin[0]} {berlin[1:]}",
+        "030/123456": f"03{berlin[0]}/{berlin[1:]}",
+        "612 345 678": f"6{madrid[:2]} {madrid[2:5]} {madrid[5:]}",
+        "+34612345678": f"+346{madrid}",
+    }
+    got = replaced(spark, list(want), key)
+    assert {x: got[i].text for i, x in enumerate(want)} == want
+
+
+def test_days_first_and_months_first_do_not_meet(spark):
+    every = [f"{d:02d}/{m:02d}/{y}" for y in (1999, 2004) for m in range(1, 13) for d in range(1, 29)]
+    got = replaced(spark, every)
+    assert len({got[i].text for i in got}) == len(every)
+    assert all((x[:2] > "12") == (got[i].text[:2] > "12") for i, x in enumerate(every))
+
+
+def test_long_texts_and_repeated_values(spark):
+    text = "call +33 1 23 45 67 89 or 4111111111111111 now. " * 4000
+    got = replaced(spark, [text, text])
+    assert got[0].n_replaced == 8000 and got[0].text == got[1].text and len(set(got[0].text.split(". "))) == 2
