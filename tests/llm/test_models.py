@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 from collections import Counter
 from itertools import product
@@ -46,24 +47,28 @@ def test_em_finds_accuracies():
     assert np.abs(accuracy - right).max() < 0.08 and abs(share - 0.8) < 0.06 and good.min() < 0.01
 
 
-def index_of(vectors, toxic, k=5):
+def index_of(vectors, toxic, k=5, rows=512):
     terms = {str(i): i for i in range(40)}
     ix = toxicity.Index(terms, np.ones(40), np.arange(len(vectors)), np.array(toxic, float), 0.3, block=4, k=k)
-    ix.build(vectors)
+    ix.build(vectors, rows)
     return ix
 
 
-def test_nearest_is_exact():
+@pytest.mark.parametrize("rows", [0, 3, 512])
+def test_nearest_is_exact(rows):
     rng = np.random.default_rng(5)
     dense = rng.random((60, 40)) * (rng.random((60, 40)) < 0.15)
     dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-9)
     vectors = [(np.flatnonzero(v), v[np.flatnonzero(v)]) for v in dense]
-    ix = index_of(vectors, rng.random(60) < 0.4)
-    for q in dense[:30] + rng.random((30, 40)) * 0.01 * (dense[30:] > 0):
-        t = np.flatnonzero(q)
-        best, cosine = ix.nearest(t, q[t])
+    ix = index_of(vectors, rng.random(60) < 0.4, rows=rows)
+    asked = list(dense[:30] + rng.random((30, 40)) * 0.01 * (dense[30:] > 0)) + [np.zeros(40)]
+    got = ix.nearest([(np.flatnonzero(q), q[np.flatnonzero(q)]) for q in asked])
+    for q, (best, cosine) in zip(asked, got):
         want = sorted((-(dense @ q)).tolist())[:5]
-        assert np.allclose(sorted(-cosine), [x for x in want if x < 0])
+        assert np.allclose(sorted(-cosine), [x for x in want if x < 0]) and np.allclose(dense[best] @ q, cosine)
+    for i, (best, cosine) in enumerate(ix.nearest(vectors, list(range(60)))):
+        want = sorted((-np.delete(dense @ dense[i], i)).tolist())[:5]
+        assert i not in best and np.allclose(sorted(-cosine), [x for x in want if x < 0])
 
 
 def words(r: random.Random, letters: str, n: int) -> str:
@@ -85,6 +90,51 @@ def test_toxicity_on_held_out_rows(spark):
     assert any(x.toxicity.evidence for x in got if x.toxic)
 
 
+def test_whole_fit_against_dense_cosines(spark):
+    r = random.Random(21)
+    rows = [(i, words(r, "abcd", 40) + (" vile" if i % 4 == 0 and r.random() < 0.9 else ""), int(i % 4 == 0)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = docs.where(crc_fold(F.col("doc_id"), 3) != 1).select("doc_id", "toxic")
+    index = toxicity.fit(docs.select("doc_id", "text"), labels)
+    known = {x.doc_id for x in labels.collect()}
+    found = [toxicity.features(t) for _, t, _ in rows]
+    ex = [i for i in range(300) if i in known]
+    assert sorted(index.ids.tolist()) == ex and set(index.terms) == {w for i in ex for w in found[i]}
+    p = sum(rows[i][2] for i in ex) / len(ex)
+    weight = {}
+    for w in index.terms:
+        m, a = sum(w in found[i] for i in ex), sum(w in found[i] and rows[i][2] for i in ex)
+        df = sum(w in f for f in found)
+        weight[w] = (math.log(301 / (1 + df)) + 1) * (0.02 + max(0, abs(a - m * p) / math.sqrt(m * p * (1 - p)) - 2) / 10)
+    vector = lambda f: {w: (1 + math.log(n)) * weight[w] for w, n in f.items() if w in weight}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    vectors = [vector(f) for f in found]
+    got = {x.doc_id: x.toxicity for x in toxicity.with_toxicity(docs, index, evidence=15).collect()}
+    hits = right = said = 0
+    for i, v in enumerate(vectors):
+        cosines = {e: sum(x * vectors[e].get(w, 0) for w, x in v.items()) / norm(v) / norm(vectors[e]) for e in ex}
+        best = sorted(cosines.values(), reverse=True)[:15]
+        assert np.allclose([e.cosine for e in got[i].evidence], best) and len(got[i].evidence) == 15
+        assert all(abs(cosines[e.doc_id] - e.cosine) < 1e-9 for e in got[i].evidence)
+        share = (sum(e.cosine**2 * e.toxic for e in got[i].evidence) + 0.5 * index.prior) / (sum(e.cosine**2 for e in got[i].evidence) + 0.5)
+        odds = index.slope * math.log(share / (1 - share)) + index.shift
+        assert abs(got[i].score - 1 / (1 + math.exp(-odds))) < 1e-6
+        if i not in known:
+            hits, right, said = hits + rows[i][2] * ("vile" in found[i]), right + rows[i][2] * got[i].predicted, said + got[i].predicted
+    print("held out: recall", right / hits, "precision", right / max(1, said))
+    assert right >= 0.9 * hits and right >= 0.9 * said
+
+
+def test_toxicity_of_text_ids_and_an_empty_table(spark):
+    docs = spark.createDataFrame([(f"d{i}", words(random.Random(i), "abcd", 30) + (" vile vile" if i % 2 else ""), i % 2) for i in range(40)], "doc_id string, text string, toxic int")
+    index = toxicity.fit(docs, docs.select("doc_id", "toxic"))
+    got = toxicity.with_toxicity(docs, index)
+    assert all(x.toxicity.predicted == x.toxic and x.toxicity.evidence[0].doc_id.startswith("d") for x in got.collect())
+    assert toxicity.with_toxicity(docs.limit(0), index).count() == 0
+    none = toxicity.fit(docs.limit(0), docs.select("doc_id", "toxic"))
+    assert toxicity.with_toxicity(docs, none).where("toxicity.predicted = 0").count() == 40
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     index = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
