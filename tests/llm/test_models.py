@@ -192,3 +192,66 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "a b", None)], "doc_id long, text string, lang string")
     field = langid.fit(docs, F.lit(True))
     assert field is None and langid.with_language(docs, field).first().language.lang == "und"
+
+
+def test_blocks_pass_on_what_the_whole_chain_says():
+    rng = np.random.default_rng(12)
+    sizes, t = [1, 5, 11, 4, 20, 0], 4
+    emit, move = rng.normal(size=(sum(sizes), 3)), rng.normal(size=(3, 3))
+    begin, nth, length = [], [], []
+    at = 0
+    for size in sizes:
+        for b in range(-(-size // t)):
+            begin.append(at + b * t), nth.append(b), length.append(min(t, size - b * t))
+        at += size
+    index = np.minimum(np.array(begin)[:, None] + np.arange(t), len(emit) - 1)
+    nth, length = np.array(nth), np.array(length)
+    got, _, _ = langid.forward_backward(emit[index], length, move, *langid.block_messages(emit[index], length, move, nth))
+    at = k = 0
+    for size in sizes:
+        if size:
+            want, _, _ = langid.forward_backward(emit[None, at : at + size], np.array([size]), move)
+            blocks = -(-size // t)
+            assert np.allclose(np.concatenate([got[k + b][: length[k + b]] for b in range(blocks)]), want[0])
+            k += blocks
+        at += size
+
+
+def test_long_texts_are_one_chain(chain):
+    field, alphabets = chain
+    r = random.Random(30)
+    text = words(r, alphabets["xx"], 64) + " " + words(r, alphabets["yy"], 150) + " " + "a" * 3000 + " " + words(r, alphabets["xx"], 20)
+    own = langid.words_of(text)
+    emit = field.emissions(own)[None].astype(float)
+    marginal, _, _ = langid.forward_backward(emit, np.array([len(own)]), field.move)
+    best = marginal[0].argmax(axis=1)
+    [(lang, score, n, switches)] = langid.Reader(field).read([text])
+    assert lang == field.langs[marginal[0].sum(axis=0).argmax()] == "yy" and n == len(own) == 235
+    assert abs(score - marginal[0].sum(axis=0).max() / n) < 1e-5 and switches == (best[1:] != best[:-1]).sum() >= 2
+
+
+def test_letters_only():
+    assert langid.words_of("\u00b2 \u00bd \u2460 12 _ ?!") == [] and langid.words_of("Na\u00efve e\u0301t\u00e92x") == ["na\u00efve", "e\u0301t\u00e9", "x"]
+
+
+def test_long_words_count_by_all_their_letters(chain):
+    field, _ = chain
+    a, b = "ab" * 20 + "mn" * 200 + "ab" * 20, "ab" * 20 + "cd" * 200 + "ab" * 20
+    assert not np.allclose(field.emissions([a]), field.emissions([b]))
+    assert np.allclose(field.emissions([a, "abc", b])[[0, 2]], np.concatenate([field.emissions([a]), field.emissions([b])]), atol=1e-5)
+
+
+def test_no_language_is_lost_to_copies(spark):
+    r = random.Random(31)
+    letters = {"xx": "abcdefgh", "yy": "mnopqrst", "zz": "aemou\u00e9\u00e8\u00e7"}
+    rows = [(lang, words(r, letters[lang], 60)) for lang in ("xx", "yy") for _ in range(60)]
+    two = [words(r, letters["zz"], 60) for _ in range(2)]
+    rows += [("zz", two[i % 2]) for i in range(600)] + [(None, "a b"), ("xx", None)]
+    docs = spark.createDataFrame([(i, lang, t, "x") for i, (lang, t) in enumerate(rows)], "doc_id long, lang string, text string, language string")
+    field = langid.fit(docs, F.lit(True), most=40)
+    assert field.langs == ["xx", "yy", "zz"]
+    got = {x.doc_id: x.language.lang for x in langid.with_language(docs, field).collect()}
+    assert all(got[i] == lang for i, (lang, t) in enumerate(rows) if lang and t) and got[len(rows) - 1] == "und"
+    assert langid.with_language(docs.limit(0), field).count() == 0
+    with pytest.raises(ValueError):
+        langid.fit(docs, F.lit(True), languages=2)
