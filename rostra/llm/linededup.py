@@ -24,17 +24,18 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(n, _BASE, np.uint64))))
 
 
-def half_keys(words: list[bytes]) -> list[int]:
-    """Keys of which two lines within one word edit share at least one.
+def half_keys(words: list[bytes], least: int) -> list[int]:
+    """Keys of which two lines within one word edit, the longer of `least` words or more, share at least one.
 
     With the shorter line's words cut in the middle, an edit leaves one side alone. Each line cuts itself as
     if it were the shorter one and as if it were the longer by one word.
     """
     n, keys = len(words), set()
     for m in (n, n - 1):
-        first, last = m // 2, m - m // 2
-        keys.add(xxhash.xxh64_intdigest(b" ".join(words[:first]), 2 * first) >> 1)
-        keys.add(xxhash.xxh64_intdigest(b" ".join(words[n - last :]), 2 * last + 1) >> 1)
+        if m >= least - 1:
+            first, last = m // 2, m - m // 2
+            keys.add(xxhash.xxh64_intdigest(b" ".join(words[:first]), 2 * first) >> 1)
+            keys.add(xxhash.xxh64_intdigest(b" ".join(words[n - last :]), 2 * last + 1) >> 1)
     return sorted(keys)
 
 
@@ -76,13 +77,16 @@ def _lines_of(text: str | None) -> Iterator[tuple[int, list[bytes], bytes, int,
 
 
 def _places(least: int):
-    """(doc_id, text_hash, text) to (doc_id, text_hash, line, h, g, halves); halves are null for short lines."""
+    """(doc_id, text_hash, text) to (doc_id, text_hash, line, h, g, halves); halves are null for short lines, and where a batch has had the line."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, marks, out = batch.column(0).to_pylist(), batch.column(1).to_pylist(), []
+            ids, marks, out, seen = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], set()
             for k, x in enumerate(batch.column(2)):
-                out += [(ids[k], marks[k], i, h, g, half_keys(w) if len(w) >= least else None) for i, w, _, h, g in _lines_of(x.as_py())]
+                for i, w, _, h, g in _lines_of(x.as_py()):
+                    new = len(w) >= least - 1 and (h, g) not in seen
+                    out.append((ids[k], marks[k], i, h, g, half_keys(w, least) if new else None))
+                    seen.add((h, g))
             cols = list(zip(*out)) or [[]] * 6
             kinds = [batch.column(0).type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds)], names=["doc_id", "text_hash", "line", "h", "g", "halves"])
@@ -116,21 +120,28 @@ def _fetch(wanted):
     return run
 
 
-def _variants(lines: pd.Series) -> pd.Series:
-    return pd.Series([variants(_hashes(x.split(b" "))).view(np.int64).tolist() for x in map(bytes, lines)], dtype=object)
+def _variants(least: int):
+    """The variants of lines; of one word less than `least` only all of its words, as it can be but the shorter of a pair."""
+
+    def run(lines: pd.Series) -> pd.Series:
+        every = ([variants(_hashes(w))[0 if len(w) >= least else -1 :].view(np.int64).tolist() for w in (bytes(x).split(b" ") for x in lines)])
+        return pd.Series(every, dtype=object)
+
+    return run
 
 
 def _close(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([within_one(bytes(x).split(b" "), bytes(y).split(b" ")) for x, y in zip(a, b)], dtype=bool)
 
 
-def line_verdicts(docs: DataFrame, least: int = 10) -> DataFrame:
+def line_verdicts(docs: DataFrame, least: int = 5) -> DataFrame:
     """doc_id, text_hash, line, dropped (`copy` or `near`) of every line that an earlier one makes needless.
 
     Lines are the parts of texts between line feeds; those without a word are never dropped. Earlier is by
-    doc_id (null first), text hash and line number. A line goes if an earlier one has the same words, or, with
-    `least` words or more, if one edit of a word (insert, delete, replace) makes it an earlier one; whether
-    that one stays doesn't matter. Rows alike in doc_id and text count as one document.
+    doc_id (null first), text hash and line number. A line goes if an earlier one has the same words, or if one
+    edit of a word (insert, delete, replace) makes it an earlier one and the longer of both has `least` words or
+    more: four words in five are then the same. Whether the earlier one stays doesn't matter. Rows alike in doc_id
+    and text count as one document, but each has its verdicts.
 
     Equal lines meet as one, with the earliest place. Of these, only lines that share a half with another
     emit deletion variants; their words are fetched by a second reading of the texts. Lines alike without
@@ -142,14 +153,14 @@ def line_verdicts(docs: DataFrame, least: int = 10) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = cut(marked.mapInArrow(_places(least), f"doc_id {kind}, text_hash long, line int, h long, g long, halves array<long>"))
     place = F.struct("doc_id", "text_hash", "line")
-    lines = cut(rows.groupBy("h", "g").agg(F.min(place).alias("at"), F.first("halves").alias("halves")))
+    lines = cut(rows.groupBy("h", "g").agg(F.min(place).alias("at"), F.first("halves", ignorenulls=True).alias("halves"), (F.count("*") > 1).alias("again")))
     halves = lines.where("halves is not null").select("h", "g", F.explode("halves").alias("half"))
     shared = cut(halves.groupBy("half").agg((F.min("h") != F.max("h")).alias("several")).where("several").select("half"))
     partners = cut(halves.join(shared, "half", "left_semi").select("h", "g").distinct())
     words = docs.select("text").mapInArrow(_fetch(share(docs.sparkSession, _mapped(partners))), "h long, g long, words binary")
     some = cut(words.join(partners, ["h", "g"], "left_semi").groupBy("h", "g").agg(F.min("words").alias("words")).join(lines.select("h", "g", "at"), ["h", "g"]))
 
-    rests = some.select("h", "g", "at", F.pandas_udf(_variants, "array<long>")("words").alias("rests"))
+    rests = some.select("h", "g", "at", F.pandas_udf(_variants(least), "array<long>")("words").alias("rests"))
     every = rests.select("h", "g", "at", F.posexplode("rests").alias("place", "rest"), F.size("rests").alias("n"))
     emitted = every.withColumn("whole", F.col("place") == F.col("n") - 1).drop("n")
     # Variants that no other line has are most of them; what is left is small.
@@ -170,28 +181,39 @@ def line_verdicts(docs: DataFrame, least: int = 10) -> DataFrame:
     near = found.join(texts, ["h", "g"]).join(texts.toDF("oh", "og", "other"), ["oh", "og"]).where(F.pandas_udf(_close, "boolean")("words", "other")).select("h", "g", F.lit(True).alias("near")).distinct()
     # Only lines that occur again or are near an earlier one can go.
     first = F.col("at").eqNullSafe(place)
-    judged = lines.select("h", "g", "at").join(near, ["h", "g"], "left")
-    return rows.select("doc_id", "text_hash", "line", "h", "g").join(judged, ["h", "g"]).where(~first | F.col("near").isNotNull()).select("doc_id", "text_hash", "line", F.when(first, "near").otherwise("copy").alias("dropped")).distinct()
+    judged = cut(lines.select("h", "g", "at", "again").join(near, ["h", "g"], "left").where("again or near").drop("again"))
+    return rows.select("doc_id", "text_hash", "line", "h", "g").join(judged, ["h", "g"]).where(~first | F.col("near").isNotNull()).select("doc_id", "text_hash", "line", F.when(first, "near").otherwise("copy").alias("dropped"))
+
 
+def _without(texts: pd.Series, lines: pd.Series) -> pd.Series:
+    """Each text without the lines of some numbers; null where there is no text."""
 
-def dedup_lines(docs: DataFrame, least: int = 10) -> DataFrame:
+    def one(text: str | None, numbers) -> str | None:
+        if text is None:
+            return None
+        gone = set(numbers.tolist())
+        return "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+
+    return pd.Series([one(t, n) for t, n in zip(texts, lines)], dtype=object)
+
+
+def dedup_lines(docs: DataFrame, least: int = 5) -> DataFrame:
     """doc_id, text (without dropped lines; null stays null), n_lines, n_copies, n_near of every row of docs.
 
-    n_lines counts lines with a word. Repeated rows each come out; an empty table gives no rows; other
-    columns are ignored.
+    n_lines counts lines with a word. Whole texts are read, at a cost in proportion to their lines; an empty text
+    stays empty. Repeated rows each come out; an empty table gives no rows; other columns are ignored.
     """
-    dropped = (
-        line_verdicts(docs, least).groupBy("doc_id", "text_hash")
-        .agg(F.collect_list("line").alias("lines"), F.count_if(F.col("dropped") == "copy").alias("n_copies"), F.count_if(F.col("dropped") == "near").alias("n_near"))
-    )
+    line = F.struct("line", "dropped")
+    of = lambda kind: F.size(F.filter("lines", lambda x: x["dropped"] == kind)).cast("long")
+    dropped = line_verdicts(docs, least).groupBy("doc_id", "text_hash").agg(F.collect_set(line).alias("lines"))
+    dropped = dropped.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("lines.line").alias("lines"), of("copy").alias("n_copies"), of("near").alias("n_near"))
     d = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    held = d.join(dropped.toDF("_id", "_hash", "lines", "n_copies", "n_near"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
-    pieces = F.split("text", "\n")
-    kept = F.array_join(F.filter(F.transform(pieces, lambda x, i: F.when(~F.array_contains(F.col("lines"), i), x)), lambda x: x.isNotNull()), "\n")
+    held = d.join(dropped, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left")
+    left = F.pandas_udf(_without, "string")(F.when(F.col("lines").isNotNull(), F.col("text")), F.coalesce("lines", F.array().cast("array<int>")))
     return held.select(
         "doc_id",
-        F.when(F.col("lines").isNull(), F.col("text")).otherwise(kept).alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.filter(pieces, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))).cast("long").alias("n_lines"),
+        F.when(F.col("lines").isNull(), F.col("text")).otherwise(left).alias("text"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))).cast("long").alias("n_lines"),
         F.coalesce("n_copies", F.lit(0)).cast("long").alias("n_copies"),
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
     )
