@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostra.llm.common import fresh, share, taken
+from rostra.llm.common import cut, fresh, share, taken
 
 Q = 8
 
@@ -47,20 +47,42 @@ def banded_distance(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int,
     return (int(row[end]), end) if row[end] <= most else None
 
 
+#: Entries that are looked at together: it bounds memory, not work.
+_MOST = 1 << 21
+
+
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All numbers from each low up to its high, one range after the other."""
+    size = high - low
+    ends = np.cumsum(size)
+    return np.repeat(low - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _pieces(width: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Slices of widths that sum up to _MOST or little more."""
+    ends = np.cumsum(width)
+    at = 0
+    while at < len(width):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + _MOST, "right")))
+        yield at, to
+        at = to
+
+
 class GramIndex:
-    """The items' q-grams, and a bitmap that turns most positions of a text away before any search."""
+    """The items' q-grams: how often each item has each, and a bitmap that turns most positions of a text away before any search."""
 
     def __init__(self, items: list[tuple[int, str]], error: float):
         self.items = [(i, np.frombuffer(_plain(t), np.uint8)) for i, t in items]
         self.items = [(i, t) for i, t in self.items if len(t) >= Q]
         self.budget = [max(0, min(int(error * len(t)), (len(t) - Q) // Q)) for _, t in self.items]
         self.least = np.array([len(t) - Q + 1 - k * Q for (_, t), k in zip(self.items, self.budget)], np.int64)
-        grams = [_grams(t) for _, t in self.items]
-        gram = np.concatenate([*grams, np.empty(0, np.uint64)])
-        item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        at = np.concatenate([*[np.arange(len(g)) for g in grams], np.empty(0, np.int64)]).astype(np.int64)
+        grams = [np.unique(_grams(t), return_counts=True) for _, t in self.items]
+        gram = np.concatenate([*[g for g, _ in grams], np.empty(0, np.uint64)])
+        item = np.repeat(np.arange(len(grams)), [len(g) for g, _ in grams])
         order = np.argsort(gram, kind="stable")
-        self.gram, self.item, self.at = gram[order], item[order], at[order]
+        self.item, self.often = item[order], np.concatenate([*[n for _, n in grams], np.empty(0, np.int64)])[order].astype(np.int64)
+        self.gram, self.first = np.unique(gram[order], return_index=True)
+        self.first = np.append(self.first, len(order))
         self.bits = max(16, int(len(gram) * 32).bit_length())
         self.seen = np.zeros(1 << self.bits, bool)
         self.seen[self.slot(self.gram)] = True
@@ -77,41 +99,64 @@ class GramIndex:
         ends = np.cumsum(np.array([len(t) + Q for t in texts], np.int64))
         gram = _grams(joined)
         at = np.flatnonzero(self.seen[self.slot(gram)])
-        gram = gram[at]
-        low = np.searchsorted(self.gram, gram, "left")
-        real = self.gram[np.minimum(low, len(self.gram) - 1)] == gram
-        at, gram, low = at[real], gram[real], low[real]
-        width = np.searchsorted(self.gram, gram, "right") - low
-        entry = np.repeat(low - np.concatenate(([0], np.cumsum(width)[:-1])), width) + np.arange(width.sum())
-        at = np.repeat(at, width)
-        row, item, where = np.searchsorted(ends, at, "right"), self.item[entry], self.at[entry]
-        # First without diagonals: how many of an item's q-grams does the text have anywhere?
-        pair, most = row * len(self.items) + item, int(self.at.max()) + 1
-        order = np.argsort(pair * most + where, kind="stable")
-        pair, where, at = pair[order], where[order], at[order]
-        fresh = np.concatenate(([True], (pair[1:] != pair[:-1]) | (where[1:] != where[:-1]))) if len(pair) else np.empty(0, bool)
-        starts = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1]))) if len(pair) else np.empty(0, np.int64)
-        counts = np.add.reduceat(fresh.astype(np.int64), starts) if len(starts) else starts
-        for k in np.flatnonzero(counts >= self.least[pair[starts] % len(self.items)]).tolist():
-            a, b = starts[k], starts[k + 1] if k + 1 < len(starts) else len(pair)
-            r, i = divmod(int(pair[a]), len(self.items))
-            out[r] += self._regions(texts[r], i, at[a:b] - int(ends[r]) + len(texts[r]) + Q, where[a:b])
+        place = np.minimum(np.searchsorted(self.gram, gram[at], "left"), len(self.gram) - 1)
+        real = self.gram[place] == gram[at]
+        pair = np.unique(np.searchsorted(ends, at[real], "right") * len(self.gram) + place[real])
+        for row, item in self._candidates(pair // len(self.gram), pair % len(self.gram)):
+            a = int(ends[row]) - len(texts[row]) - Q
+            out[row] += self._regions(texts[row], item, gram[a : a + max(0, len(texts[row]) - Q + 1)])
         return out
 
-    def _regions(self, text: bytes, k: int, at: np.ndarray, where: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """Where text holds item k; at and where are the q-grams they share: positions in text and item.
+    def _candidates(self, row: np.ndarray, gram: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Text and item where the text has so many of the item's q-grams, anywhere; rows are in order, each q-gram of a text is there once."""
+        low, high = self.first[gram], self.first[gram + 1]
+        held, counts = -1, np.zeros(len(self.items), np.int64)
+        for a, b in _pieces(high - low):
+            entry, rows = _ranges(low[a:b], high[a:b]), np.repeat(row[a:b], (high - low)[a:b])
+            for s, e in zip((starts := np.flatnonzero(np.diff(rows, prepend=-1))).tolist(), [*starts[1:].tolist(), len(rows)]):
+                if rows[s] != held:
+                    yield from ((held, k) for k in np.flatnonzero(counts >= self.least).tolist() if held >= 0)
+                    held, counts = int(rows[s]), np.zeros(len(self.items), np.int64)
+                np.add.at(counts, self.item[entry[s:e]], self.often[entry[s:e]])
+        yield from ((held, k) for k in np.flatnonzero(counts >= self.least).tolist() if held >= 0)
+
+    def _bands(self, k: int, gram: np.ndarray) -> Iterator[int]:
+        """Bands of diagonals in which a text with these q-grams has enough of those of item k, in order.
 
         An alignment with e edits stays within e + 1 neighbouring diagonals, so it lies whole in a band of
         twice that width, where bands start at every multiple of it. A q-gram of the item counts once a band,
-        which bounds the number of shared ones from above, so no region is lost.
+        which bounds the number of shared ones from above, so no region is lost. The text is gone through in
+        parts that overlap by a band's length: each band lies in one of them.
         """
+        body = self.items[k][1]
+        step, own = self.budget[k] + 1, _grams(body)
+        order = np.argsort(own, kind="stable")
+        own = own[order]
+        width, long = len(body) + 3 * step, 32 * (len(body) + 3 * step)
+        told = -(1 << 62)
+        for begin in range(0, max(1, len(gram) - width), long):
+            part = gram[begin : begin + long + width]
+            low, high = np.searchsorted(own, part, "left"), np.searchsorted(own, part, "right")
+            at = np.flatnonzero(high > low)
+            low, high = low[at], high[at]
+            pairs = np.empty(0, np.int64)
+            for a, b in _pieces(high - low):
+                where = order[_ranges(low[a:b], high[a:b])]
+                base = (begin + np.repeat(at[a:b], (high - low)[a:b]) - where) // step
+                some = np.concatenate([base, base - 1]) * (len(body) + 1) + np.concatenate([where, where])
+                pairs = np.unique(np.concatenate([pairs, np.unique(some)]))
+            bands, counts = np.unique(pairs // (len(body) + 1), return_counts=True)
+            for band in bands[counts >= self.least[k]].tolist():
+                if band > told:
+                    told = band
+                    yield band
+
+    def _regions(self, text: bytes, k: int, gram: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Where text holds item k; of regions that overlap the one of the least distance, then the first."""
         name, body = self.items[k]
         step = self.budget[k] + 1
-        base = (at - where) // step
-        pairs = np.unique(np.concatenate([base, base - 1]) * (len(body) + 1) + np.concatenate([where, where]))
-        bands, counts = np.unique(pairs // (len(body) + 1), return_counts=True)
         found: list[tuple[int, int, int, int]] = []
-        for band in bands[counts >= self.least[k]].tolist():
+        for band in self._bands(k, gram):
             a, b = max(0, band * step), min(len(text), (band + 2) * step + len(body))
             if found and found[-1][3] == 0 and a < found[-1][2] and b <= found[-1][2] + 2 * step:
                 continue  # the exact copy that was just found fills this band
@@ -127,35 +172,32 @@ class GramIndex:
         return found
 
 
-def _blocks(items: list[tuple[int, str]], most: int) -> Iterator[list[tuple[int, str]]]:
-    block: list[tuple[int, str]] = []
-    held = 0
-    for i, t in items:
-        if block and held + len(t) > most:
-            yield block
-            block, held = [], 0
-        block.append((i, t))
-        held += len(t)
-    if block:
-        yield block
-
-
 def with_benchmark_hits(docs: DataFrame, benchmark: DataFrame, error: float = 0.1, block: int = 8 << 20, into: str = "hits") -> DataFrame:
     """docs and a column of the benchmark items that each text holds whole, nearly: array of item_id, start, end, distance.
 
     Both sides are compared with A-Z lowered and white space squeezed; start and end are bytes of that form.
     A region counts whose edit distance to the item is at most error times the item's length, and never more
     than the q-gram lemma can vouch for: with k edits at least len - q + 1 - k * q of the item's q-grams stay
-    in place up to k + 1 diagonals. Items under 8 bytes and null items are ignored. The benchmark is a stated
-    query set; it goes to the tasks in blocks of at most `block` characters, each a column expression of the
-    one pass over the documents; texts are read whole. Null and empty texts have no hits, an empty benchmark
-    gives none. Rows are judged where they lie, so ids may be null or repeated, and columns of any other name
-    pass through; one that is called as `into` is replaced.
+    in place up to k + 1 diagonals. Of regions of an item that overlap, the one of the least distance is given,
+    then the first. Items under 8 bytes and null items are ignored; items that are alike are each found. The
+    benchmark is a stated query set; a benchmark of more than `block` characters is dealt by a hash into blocks of
+    about so many, each of which has a pass over the documents of its own, written before the next, so neither the
+    driver nor a task holds more than one. Texts are read whole, in bounded memory. Null and empty texts have no
+    hits, an empty benchmark gives none. Rows are judged where they lie, so ids may be null or repeated, and
+    columns of any other name pass through; one that is called as `into` is replaced.
     """
-    found = F.array().cast(_HITS)
-    for part in _blocks([(r[0], r[1]) for r in benchmark.where("text is not null").select("item_id", "text").toLocalIterator()], block):
-        found = F.concat(found, _search(share(docs.sparkSession, part), error)(docs["text"]))
-    return docs.withColumn(into, found)
+    items = benchmark.where("text is not null").select("item_id", "text")
+    blocks = max(1, -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // block))
+    found = docs.withColumn(into, F.array().cast(_HITS))
+    for k in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
+        if part:
+            shared = share(docs.sparkSession, [(r[0], r[1]) for r in part])
+            found = found.withColumn(into, F.concat(into, _search(shared, error)(found["text"])))
+            if blocks > 1:
+                found = cut(found)
+                shared.unpersist()
+    return found
 
 
 def _search(items, error: float):

@@ -61,12 +61,50 @@ def test_every_item_within_the_budget_is_found(spark):
     b = spark.createDataFrame(items + [(99, None), (98, "tiny")], "item_id long, text string")
     got = decontam.benchmark_hits(d, b).collect()
     assert {(r.doc_id, r.item_id) for r in got} == set(held.items())
-    many = decontam.benchmark_hits(d, b, block=300).collect()  # a block or so for each item
+    many = decontam.benchmark_hits(d, b, block=900).collect()  # a pass for each few items
     assert sorted(many) == sorted(got)
     kept = decontam.decontaminate(d, b)
     assert kept.columns == ["doc_id", "text", "hits"] and {r.doc_id for r in kept.collect()} == {x[0] for x in docs} - set(held)
 
 
+def best_distance(item: bytes, text: bytes) -> int:
+    """Least edit distance of item to any part of text, by the whole table."""
+    row = [0] * (len(text) + 1)
+    for i, x in enumerate(item, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(text, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return min(row)
+
+
+@pytest.mark.parametrize("most", [1 << 21, 50])
+def test_against_an_exhaustive_search(monkeypatch, most):
+    monkeypatch.setattr(decontam, "_MOST", most)
+    r = random.Random(17)
+    text = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    items = [(i, text(letters, r.randint(20, 90))) for i, letters in enumerate(["ab", "ab", "abcdef", "abcdef", "abcdefgh ", "abcdefgh ", "a", "abc", "abcd", "abcdefghijkl"])]
+    items += [(20, items[4][1]), (21, "ab" * 30), (22, "abc" * 15)]
+    index = decontam.GramIndex(items, 0.1)
+    texts = [text("abcdefgh ", 150), text("ab", 300), "a" * 200, "ab" * 100, ""]
+    for _, item in items:
+        budget = max(0, min(len(item) // 10, (len(item) - 8) // 8))
+        texts += [text("abcdefgh ", r.randint(0, 60)) + edited(item, k, r) + text("abcdefgh ", r.randint(0, 60)) for k in (0, budget, budget + 1, 2 * budget + 1)]
+    plain = [decontam._plain(t) for t in texts]
+    got = [{i for i, *_ in hits} for hits in index.scan(plain)]
+    for t, hits in zip(plain, got):
+        assert hits == {i for (i, body), k in zip(index.items, index.budget) if len(t) and best_distance(body.tobytes(), t) <= k}
+
+
+def test_texts_of_one_letter_take_bounded_memory():
+    import resource
+
+    index = decontam.GramIndex([(1, "a" * 2000), (2, "ab" * 900)], 0.1)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    [hits] = index.scan([b"a" * 20_000 + b"x"])
+    assert {i for i, *_ in hits} == {1} and sum(e - s for _, s, e, _ in hits) >= 18_000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000  # kB
+
+
 def test_no_benchmark_and_no_documents(spark):
     d = spark.createDataFrame([(1, "a text")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
