@@ -19,15 +19,29 @@ cloudpickle.register_pickle_by_value(rostra)
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of a batch that goes to Python: batches of a fixed number of long texts would be of any size.
+BATCH = 16 << 20
+
+
+def bounded(spark: SparkSession) -> None:
+    """Bounds the batches that Spark sends to Python by their bytes, unless the session sets a bound of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if name not in spark.conf.getAll:
+        spark.conf.set(name, str(BATCH))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Only in local mode, where there are no others, one is made if that is unset."""
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="rostra-"))
         named = sc.getCheckpointDir()
     return named
@@ -36,15 +50,29 @@ def shared_dir(spark: SparkSession) -> str:
 def cut(df: DataFrame) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back, so that lost executors cost no recomputation.
 
-    The files are deleted when the driver's JVM ends.
+    The files are deleted when released() is called, or when the driver's JVM ends.
     """
     spark = df.sparkSession
+    bounded(spark)
     path = f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _at(spark, path, "deleteOnExit")
+    again = spark.read.schema(df.schema).parquet(path)
+    again._cut_path = path
+    return again
+
+
+def _at(spark: SparkSession, path: str, what: str, *more) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    getattr(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), what)(at, *more)
+
+
+def released(*frames: DataFrame | None) -> None:
+    """Deletes the files of frames that cut() gave and that nothing will read any more."""
+    for df in frames:
+        if path := getattr(df, "_cut_path", None):
+            _at(df.sparkSession, path, "delete", True)
 
 
 def fresh(df: DataFrame, name: str) -> str:

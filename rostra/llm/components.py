@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostra.llm.common import cut
+from rostra.llm.common import cut, released
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -38,7 +38,10 @@ def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
         if tuple(now) == sign or not now[0]:
             break
         sign = tuple(now)
-        links = cut(_small_star(_large_star(links)))
+        old, links = links, cut(_small_star(_large_star(links)))
+        released(old)
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    return cut(links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()))
+    found = cut(links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()))
+    released(links)
+    return found

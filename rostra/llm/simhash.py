@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from rostra.llm.common import cut, fresh
+from rostra.llm.common import cut, fresh, released
 from rostra.llm.components import connected_components
 
 BITS = 64
@@ -198,11 +198,14 @@ def covering_parts(points: DataFrame, prints: list[str], radius: int = 4, apart:
             last = turn == rounds - 1
             out = cut(keyed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_links(radius, apart, None if last else most), ", ".join(f"{n} long" for n in _LINK)))
             found = connected_components(out.where("bucket is null").select("a", "b"))
-            parts = cut(_renamed(parts, found))
+            old, parts = parts, cut(_renamed(parts, found))
+            released(old)
             members = out.where("bucket is not null").select("bucket", F.col("a").alias("part"), "fp", "check")
             if last or members.isEmpty():
+                released(out, found)
                 break
             members = cut(_renamed(members, found))
+            released(out, found)
             several = members.groupBy("bucket").agg((F.min("part") != F.max("part")).alias("several")).where("several").select("bucket")
             left = members.join(several, "bucket", "left_semi")
     return parts.select("node", "part")
