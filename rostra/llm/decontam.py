@@ -83,6 +83,7 @@ class GramIndex:
         self.item, self.often = item[order], np.concatenate([*[n for _, n in grams], np.empty(0, np.int64)])[order].astype(np.int64)
         self.gram, self.first = np.unique(gram[order], return_index=True)
         self.first = np.append(self.first, len(order))
+        self.place = np.full(len(self.gram), -1, np.int32)  # of the q-grams among those of one item, for a while
         self.bits = max(16, int(len(gram) * 32).bit_length())
         self.seen = np.zeros(1 << self.bits, bool)
         self.seen[self.slot(self.gram)] = True
@@ -101,10 +102,12 @@ class GramIndex:
         at = np.flatnonzero(self.seen[self.slot(gram)])
         place = np.minimum(np.searchsorted(self.gram, gram[at], "left"), len(self.gram) - 1)
         real = self.gram[place] == gram[at]
-        pair = np.unique(np.searchsorted(ends, at[real], "right") * len(self.gram) + place[real])
+        at, place = at[real], place[real]
+        bounds = np.searchsorted(at, np.concatenate(([0], ends)))
+        pair = np.unique(np.repeat(np.arange(len(texts)), np.diff(bounds)) * len(self.gram) + place)
         for row, item in self._candidates(pair // len(self.gram), pair % len(self.gram)):
-            a = int(ends[row]) - len(texts[row]) - Q
-            out[row] += self._regions(texts[row], item, gram[a : a + max(0, len(texts[row]) - Q + 1)])
+            a, b = int(bounds[row]), int(bounds[row + 1])
+            out[row] += self._regions(texts[row], item, at[a:b] - (int(ends[row]) - len(texts[row]) - Q), place[a:b])
         return out
 
     def _candidates(self, row: np.ndarray, gram: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -120,8 +123,8 @@ class GramIndex:
                 np.add.at(counts, self.item[entry[s:e]], self.often[entry[s:e]])
         yield from ((held, k) for k in np.flatnonzero(counts >= self.least).tolist() if held >= 0)
 
-    def _bands(self, k: int, gram: np.ndarray) -> Iterator[int]:
-        """Bands of diagonals in which a text with these q-grams has enough of those of item k, in order.
+    def _bands(self, k: int, at: np.ndarray, gram: np.ndarray) -> Iterator[int]:
+        """Bands of diagonals in which a text that has the q-grams gram (numbers) at `at` has enough of those of item k, in order.
 
         An alignment with e edits stays within e + 1 neighbouring diagonals, so it lies whole in a band of
         twice that width, where bands start at every multiple of it. A q-gram of the item counts once a band,
@@ -129,20 +132,24 @@ class GramIndex:
         parts that overlap by a band's length: each band lies in one of them.
         """
         body = self.items[k][1]
-        step, own = self.budget[k] + 1, _grams(body)
+        step, own = self.budget[k] + 1, np.searchsorted(self.gram, _grams(body))
         order = np.argsort(own, kind="stable")
-        own = own[order]
-        width, long = len(body) + 3 * step, 32 * (len(body) + 3 * step)
+        mine, first = np.unique(own[order], return_index=True)
+        self.place[mine] = np.arange(len(mine))
+        real = self.place[gram]
+        self.place[mine] = -1
+        at, real = at[real >= 0], real[real >= 0]
+        first = np.append(first, len(own))
+        low, high = first[real], first[real + 1]
+        width = len(body) + 3 * step
+        long = 32 * width if (high - low).sum() > _MOST else int(at.max(initial=0)) + width
         told = -(1 << 62)
-        for begin in range(0, max(1, len(gram) - width), long):
-            part = gram[begin : begin + long + width]
-            low, high = np.searchsorted(own, part, "left"), np.searchsorted(own, part, "right")
-            at = np.flatnonzero(high > low)
-            low, high = low[at], high[at]
+        for begin in range(0, max(1, int(at.max(initial=0)) - width + 1), long):
+            s, e = np.searchsorted(at, [begin, begin + long + width]).tolist()
             pairs = np.empty(0, np.int64)
-            for a, b in _pieces(high - low):
-                where = order[_ranges(low[a:b], high[a:b])]
-                base = (begin + np.repeat(at[a:b], (high - low)[a:b]) - where) // step
+            for a, b in _pieces(high[s:e] - low[s:e]):
+                where = order[_ranges(low[s + a : s + b], high[s + a : s + b])]
+                base = (np.repeat(at[s + a : s + b], (high - low)[s + a : s + b]) - where) // step
                 some = np.concatenate([base, base - 1]) * (len(body) + 1) + np.concatenate([where, where])
                 pairs = np.unique(np.concatenate([pairs, np.unique(some)]))
             bands, counts = np.unique(pairs // (len(body) + 1), return_counts=True)
@@ -151,12 +158,12 @@ class GramIndex:
                     told = band
                     yield band
 
-    def _regions(self, text: bytes, k: int, gram: np.ndarray) -> list[tuple[int, int, int, int]]:
+    def _regions(self, text: bytes, k: int, at: np.ndarray, gram: np.ndarray) -> list[tuple[int, int, int, int]]:
         """Where text holds item k; of regions that overlap the one of the least distance, then the first."""
         name, body = self.items[k]
         step = self.budget[k] + 1
         found: list[tuple[int, int, int, int]] = []
-        for band in self._bands(k, gram):
+        for band in self._bands(k, at, gram):
             a, b = max(0, band * step), min(len(text), (band + 2) * step + len(body))
             if found and found[-1][3] == 0 and a < found[-1][2] and b <= found[-1][2] + 2 * step:
                 continue  # the exact copy that was just found fills this band
