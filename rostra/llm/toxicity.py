@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -28,16 +29,19 @@ def features(text: str | None) -> Counter:
     The beginnings tell of compounds and endings: in languages that have many, a word itself is seldom met twice.
     """
     found = Counter(_LETTERS.findall(text.lower())) if text else Counter()
-    for word, n in list(found.items()):
+    begins: dict[str, int] = {}
+    for word, n in found.items():
         if len(word) > STEM:
-            found[word[:STEM] + "-"] += n
+            x = word[:STEM] + "-"
+            begins[x] = begins.get(x, 0) + n
+    found.update(begins)
     return found
 
 
-def _terms(text: str | None) -> set[str]:
-    """The different features of a text."""
+def _terms(text: str | None, known: frozenset[str]) -> set[str]:
+    """The different features of a text that are known."""
     words = set(_LETTERS.findall(text.lower())) if text else set()
-    return words | {w[:STEM] + "-" for w in words if len(w) > STEM}
+    return (words & known) | ({w[:STEM] + "-" for w in words if len(w) > STEM} & known)
 
 
 def _likeness(text: str | None) -> int:
@@ -81,21 +85,22 @@ class Index:
     weight: np.ndarray = field(default=None)
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        found, terms = features(text), self.terms
-        own = [(t, n) for x, n in found.items() if (t := terms.get(x)) is not None]
-        return self.weigh(np.array([t for t, _ in own], np.int64), np.array([n for _, n in own], np.float64))
+        found = features(text)
+        term = np.fromiter(map(self.terms.get, found, repeat(-1)), np.int64, len(found))
+        n = np.fromiter(found.values(), np.float64, len(found))
+        return self.weigh(term[term >= 0], n[term >= 0])
 
     def weigh(self, term: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         weight = (1 + np.log(n)) * self.idf[term]
         return term, weight / max(1e-12, math.sqrt(float(weight @ weight)))
 
-    def build(self, vectors: list[tuple[np.ndarray, np.ndarray]], rows: int = 512) -> None:
-        """rows: at most so many first terms, each of which one example in 32 has, become rows of the matrix."""
+    def build(self, vectors: list[tuple[np.ndarray, np.ndarray]], rows: int = 1536) -> None:
+        """rows: at most so many first terms, each of which one example in 128 has, become rows of the matrix."""
         blocks = max(1, -(-len(vectors) // self.block))
         who = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(t) for t, _ in vectors])
         term = np.concatenate([*[t for t, _ in vectors], np.empty(0, np.int64)]).astype(np.int64)
         weight = np.concatenate([*[w for _, w in vectors], np.empty(0)])
-        few = np.flatnonzero(np.bincount(term, minlength=len(self.terms)) * 32 < max(1, len(vectors)))
+        few = np.flatnonzero(np.bincount(term, minlength=len(self.terms)) * 128 < max(1, len(vectors)))
         rows = min(rows, int(few[0]) if len(few) else len(self.terms))
         self.common = np.zeros((rows, len(vectors)))
         self.common[term[term < rows], who[term < rows]] = weight[term < rows]
@@ -196,7 +201,7 @@ def _described(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = 4000) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, examples: int = 2500) -> Index:
     """An index of the rows of docs (doc_id, text) that labels (doc_id, toxic 0 or 1) has, with the document frequencies of all docs.
 
     Examples are a sample of at most `examples` ids, half of them toxic if there are so many, chosen by a
@@ -223,10 +228,11 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 4000) -> Index:
 
     def frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, seen, rows = taken(shared), Counter(), 0
+        known = frozenset(own)
         for batch in batches:
             rows += batch.num_rows
             for x in batch.column(0):
-                seen.update(own.keys() & _terms(x.as_py()))
+                seen.update(_terms(x.as_py(), known))
         yield pa.RecordBatch.from_arrays([pa.array([-1, *[own[t] for t in seen]], pa.int32()), pa.array([rows, *seen.values()], pa.int64())], names=["term", "n"])
 
     counts = docs.select("text").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
