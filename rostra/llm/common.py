@@ -20,7 +20,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 #: Bytes of a batch that goes to Python: batches of a fixed number of long texts would be of any size.
-BATCH = 16 << 20
+BATCH = 4 << 20
 
 
 def bounded(spark: SparkSession) -> None:

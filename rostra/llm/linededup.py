@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rostra.llm.common import cut, share, taken
 
+_digest = xxhash.xxh64_intdigest
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -24,18 +27,19 @@ def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(np.concatenate((np.ones(1, np.uint64), np.full(n, _BASE, np.uint64))))
 
 
-def half_keys(words: list[bytes], least: int) -> list[int]:
+def half_keys(words: list[bytes], plain: bytes, least: int) -> list[int]:
     """Keys of which two lines within one word edit, the longer of `least` words or more, share at least one.
 
     With the shorter line's words cut in the middle, an edit leaves one side alone. Each line cuts itself as
-    if it were the shorter one and as if it were the longer by one word.
+    if it were the shorter one and as if it were the longer by one word. plain is the words, joined by spaces.
     """
     n, keys = len(words), set()
+    ends = list(accumulate(map(len, words)))
     for m in (n, n - 1):
         if m >= least - 1:
             first, last = m // 2, m - m // 2
-            keys.add(xxhash.xxh64_intdigest(b" ".join(words[:first]), 2 * first) >> 1)
-            keys.add(xxhash.xxh64_intdigest(b" ".join(words[n - last :]), 2 * last + 1) >> 1)
+            keys.add(_digest(plain[: ends[first - 1] + first - 1], 2 * first) >> 1)
+            keys.add(_digest(plain[ends[n - last - 1] + n - last if n > last else 0 :], 2 * last + 1) >> 1)
     return sorted(keys)
 
 
@@ -72,8 +76,7 @@ def _lines_of(text: str | None) -> Iterator[tuple[int, list[bytes], bytes, int,
     for i, line in enumerate(text.encode().split(b"\n") if text else ()):
         if words := line.split():
             plain = b" ".join(words)
-            both = xxhash.xxh3_128_intdigest(plain)
-            yield i, words, plain, (both & (1 << 64) - 1) - (1 << 63), (both >> 64) - (1 << 63)
+            yield i, words, plain, *struct.unpack(">qq", xxhash.xxh3_128_digest(plain))
 
 
 def _places(least: int):
@@ -83,9 +86,9 @@ def _places(least: int):
         for batch in batches:
             ids, marks, out, seen = batch.column(0).to_pylist(), batch.column(1).to_pylist(), [], set()
             for k, x in enumerate(batch.column(2)):
-                for i, w, _, h, g in _lines_of(x.as_py()):
+                for i, w, plain, h, g in _lines_of(x.as_py()):
                     new = len(w) >= least - 1 and (h, g) not in seen
-                    out.append((ids[k], marks[k], i, h, g, half_keys(w, least) if new else None))
+                    out.append((ids[k], marks[k], i, h, g, half_keys(w, plain, least) if new else None))
                     seen.add((h, g))
             cols = list(zip(*out)) or [[]] * 6
             kinds = [batch.column(0).type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
@@ -107,13 +110,13 @@ def _fetch(wanted):
     """(text) to (h, g, words) of the lines whose h the map may have, each once a batch."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = taken(wanted)
+        bits = taken(wanted).tobytes()
         for batch in batches:
             found: dict[tuple[int, int], bytes] = {}
             for x in batch.column(0):
                 for _, _, plain, h, g in _lines_of(x.as_py()):
                     at = h % _MAP
-                    if int(bits[at >> 6]) >> (at & 63) & 1:
+                    if bits[at >> 3] >> (at & 7) & 1:
                         found[h, g] = plain
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.int64()), pa.array([k[1] for k in found], pa.int64()), pa.array(list(found.values()), pa.binary())], names=["h", "g", "words"])
 
