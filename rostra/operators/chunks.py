@@ -113,3 +113,10 @@ def packed(rows: DataFrame, group: str, order: str, size: Column, most: int) ->
         return F.when(acc.isNull(), fresh).when(end["size"] + x["s"] > most, F.concat(acc, fresh)).otherwise(grown)
 
     return rows.groupBy(group).agg(items.alias("items")).select(group, F.posexplode(F.aggregate("items", start, step)).alias("window", "w")).select(group, "window", "w.*")
+
+
+def inspected(found: DataFrame, chunks: DataFrame, preview: int = 160) -> DataFrame:
+    """What retrieval found (session_id, speech_index, position, chunk_id, reason, score), each with its kind, length and beginning."""
+    short = F.when(F.length("text") > preview, F.concat(F.left("text", F.lit(preview)), F.lit("…"))).otherwise(F.col("text"))
+    own = chunks.select("session_id", "chunk_id", "chunk_type", F.length("text").cast("long").alias("chars"), short.alias("preview"))
+    return found.join(own, ["session_id", "chunk_id"]).select("session_id", "speech_index", "position", "chunk_id", "reason", "score", "chunk_type", "chars", "preview")

@@ -73,6 +73,16 @@ def prompt_file(kind: str, date: Column, session: Column, stamp: Column, model:
     return F.concat(F.concat_ws("_", F.lit(kind), date.cast("string"), session, stamp, safe_name(model), safe_name(label)), F.lit(".txt"))
 
 
+def productivity_documents(productivity: DataFrame) -> DataFrame:
+    """Level, file, document: one for the total and its populations, one a member and one a party."""
+    names = [c for c in productivity.columns if c not in ("level",)]
+    file = (
+        F.when(F.col("level") == "member", F.concat(F.lit("productivity_members/"), "member_id", F.lit(".json")))
+        .when(F.col("level") == "party", F.concat(F.lit("productivity_parties/"), F.lower(F.regexp_replace("party_id", "[^A-Za-z0-9]+", "-")), F.lit(".json"))).otherwise("productivity_total.json")
+    )
+    return productivity.select("level", file.alias("file"), F.struct(*names).alias("document"))
+
+
 def write_documents(documents: DataFrame, path: str) -> None:
     """One JSON line a document, in a folder that is replaced."""
     documents.write.mode("overwrite").json(path)

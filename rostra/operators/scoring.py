@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,24 +32,49 @@ def rule_scorer() -> Scorer:
     return score
 
 
-def scored(rows: DataFrame, prompt: str, factory: Callable[[], Scorer] = rule_scorer, retries: int = 3, into: str = "answer") -> DataFrame:
-    """Rows and the scorer's answer; after `retries` failures of a batch its answers are null."""
+#: Put before an answer that can't be read, to have it mended.
+MEND = "Repair this malformed output into valid JSON of the same content. Output JSON only.\n\n"
+
+
+def asked(scorer: Scorer, prompts: list[str], retries: int = 3, pause: float = 0.0) -> list[str | None]:
+    """An answer for each prompt. What fails together is asked one by one, each `retries` times; null after that."""
+    try:
+        answers = list(scorer(prompts))
+        if len(answers) == len(prompts):
+            return answers
+    except (OSError, ValueError):
+        pass
+    if len(prompts) > 1:
+        return [x for p in prompts for x in asked(scorer, [p], retries, pause)]
+    if retries <= 1:
+        return [None]
+    time.sleep(pause)
+    return asked(scorer, prompts, retries - 1, pause)
+
+
+def scored(rows: DataFrame, prompt: str, factory: Callable[[], Scorer] = rule_scorer, retries: int = 3, into: str = "answer", pause: float = 0.0, readable: Callable[[str], bool] | None = None) -> DataFrame:
+    """Rows and the scorer's answer; null prompts aren't asked, and prompts that fail are null.
+
+    An answer that isn't `readable` is mended by one more question, and stays as it is if that doesn't help.
+    """
     schema = T.StructType([*rows.schema.fields, T.StructField(into, T.StringType())])
+    place = rows.columns.index(prompt)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = factory()
         for batch in batches:
-            answers: list = [None] * len(batch)
-            for attempt in range(retries):
-                try:
-                    answers = scorer(batch[prompt].tolist())
-                    break
-                except (OSError, ValueError, TimeoutError):
-                    if attempt + 1 == retries:
-                        break
-            yield batch.assign(**{into: answers})
+            prompts = batch.column(place).to_pylist()
+            at = [i for i, p in enumerate(prompts) if p is not None]
+            answers: list = [None] * len(prompts)
+            for i, x in zip(at, asked(scorer, [prompts[i] for i in at], retries, pause) if at else []):
+                answers[i] = x
+            if readable is not None:
+                bad = [i for i in at if answers[i] is not None and answers[i].strip() and not readable(answers[i])]
+                for i, x in zip(bad, asked(scorer, [MEND + answers[i] for i in bad], 1, pause) if bad else []):
+                    answers[i] = x if x is not None and readable(x) else answers[i]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(answers, pa.string())], names=schema.names)
 
-    return rows.mapInPandas(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def hash_embedding(text: str, size: int = 64) -> list[float]:
@@ -210,16 +237,6 @@ def shares_words(a: Column, b: Column, least: int = 2) -> Column:
     return F.size(F.array_intersect(F.array_distinct(retrieval_tokens(a)), F.array_distinct(retrieval_tokens(b)))) >= least
 
 
-def layered(speeches: DataFrame, shortcut: Column, factory: Callable[[], Scorer] = rule_scorer) -> DataFrame:
-    """Shortcuts first, the scorer for the rest, and one table of decisions with their source."""
-    s = speeches.withColumn("reason", shortcut)
-    quick = s.where("reason is not null").select("session_id", "speech_index", F.lit("neutral").alias("label"), F.lit(0.95).alias("confidence"), F.lit("shortcut").alias("source"))
-    asked = with_results(scored(s.where("reason is null").select("session_id", "speech_index", "text"), "text", factory), "answer")
-    r = F.from_json("results", "array<struct<constructiveness_label:string,confidence:double>>")[0]
-    model = asked.select("session_id", "speech_index", F.coalesce(r["constructiveness_label"], F.lit("neutral")).alias("label"), clamped(F.coalesce(r["confidence"], F.lit(0.5))).alias("confidence"), F.when(F.col("results").isNull(), "failed").otherwise("model").alias("source"))
-    return quick.unionByName(model)
-
-
 _CONTEXT, _SIZE = r"(?i)(?<!\d)(\d{1,3})k(?![a-z0-9])", r"(?i)(?<!\d)(\d+(?:\.\d+)?)b(?![a-z0-9])"
 
 

@@ -302,12 +302,6 @@ def quarantine(spark, sf_dir):
     return scoring.malformed(coerce(spark, sf_dir))
 
 
-@query("r09_layered")
-def layered(spark, sf_dir):
-    s = speeches(spark, sf_dir)
-    return scoring.layered(s, rules.shortcut(F.col("text"), F.lit(None).cast("string"), ["the"], ["thing"], ["da"]))
-
-
 @query("a06_binary_scan")
 def binary_scan(spark, sf_dir):
     from rostra.sources.registry import read_files

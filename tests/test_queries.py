@@ -56,7 +56,7 @@ def test_entry(spark):
 
 
 def test_no_query_of_the_library_needs_python_workers(spark):
-    needs = {"x06_embed", "f27_coerce", "b15_quarantine", "r09_layered"}
+    needs = {"x06_embed", "f27_coerce", "b15_quarantine", "r09_three_layer", "r10_one_pass", "r11_classify", "x03_extract_topics", "x04_session_topics"}
     for name, q in catalog.QUERIES.items():
         if name not in needs:
             plan = q(spark, str(SF))._jdf.queryExecution().optimizedPlan().toString()
