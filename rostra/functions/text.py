@@ -6,7 +6,7 @@ The forms differ in observable ways (case, white space, what is cut first), so e
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -179,6 +179,11 @@ def variants(token: Column) -> Column:
     return F.array_distinct(F.array_compact(F.array(token, *cut)))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def hits(c: Column, words: Iterable[str]) -> Column:
     """How many of the words occur anywhere in the text."""
     words = [*words]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rostra.functions.text import hits, holds_any, or_empty, plain_word_count, plain_words, qa_text, rules_key, sentence_count, stripped
+from rostra.functions.text import hits, holds_any, let, or_empty, plain_word_count, plain_words, qa_text, rules_key, sentence_count, stripped
 
 # The baseline's vocabulary, in normal form.
 PROCEDURAL = ["ordine de zi", "supun votului", "vot", "cvorum", "microfon", "cartele", "sedinta", "va rog", "declar deschisa", "regulament"]
@@ -36,17 +36,21 @@ def _verdict(label: str, topics: Column, confidence: float) -> Column:
 def baseline(key: Column, topics: Column, session_topics: Column, attacks: Sequence[str] = ATTACKS, constructive: Sequence[str] = CONSTRUCTIVE, strong: Sequence[str] = STRONG_CONSTRUCTIVE,
              procedural: Sequence[str] = PROCEDURAL, roll_call: Sequence[str] = ROLL_CALL) -> Column:
     """Label, topics and confidence of a text in normal form, with its topics and those of its session."""
-    own = F.array_intersect(topics, session_topics)
     none = F.array().cast("array<string>")
-    debated = F.replace(F.replace(key, F.lit("proiectul ordinii de zi"), F.lit("ordinii de zi")), F.lit("proiect de ordine de zi"), F.lit("ordine de zi"))
-    c, p, some = hits(debated, constructive), hits(key, procedural), F.size(own) > 0
-    return (
-        F.when(F.length(key) < 40, _verdict("neutral", own, 0.45)).when(hits(key, roll_call) >= 2, _verdict("neutral", own, 0.90))
-        .when((hits(key, attacks) > 0) & ~some & (c == 0) & (p <= 1), _verdict("non_constructive", none, 0.80))
-        .when(~some & (p > 0), _verdict("neutral", none, 0.72)).when(~some, _verdict("neutral", none, 0.58))
-        .when((c > 0) & (p > 0) & ~holds_any(debated, strong), _verdict("neutral", own, 0.63)).when(c > 0, _verdict("constructive", own, 0.75))
-        .otherwise(_verdict("neutral", own, 0.67))
-    )
+
+    def judged(of: Column) -> Column:
+        k, own = of["k"], of["own"]
+        debated = F.replace(F.replace(k, F.lit("proiectul ordinii de zi"), F.lit("ordinii de zi")), F.lit("proiect de ordine de zi"), F.lit("ordine de zi"))
+        c, p, some = hits(debated, constructive), hits(k, procedural), F.size(own) > 0
+        return (
+            F.when(F.length(k) < 40, _verdict("neutral", own, 0.45)).when(hits(k, roll_call) >= 2, _verdict("neutral", own, 0.90))
+            .when((hits(k, attacks) > 0) & ~some & (c == 0) & (p <= 1), _verdict("non_constructive", none, 0.80))
+            .when(~some & (p > 0), _verdict("neutral", none, 0.72)).when(~some, _verdict("neutral", none, 0.58))
+            .when((c > 0) & (p > 0) & ~holds_any(debated, strong), _verdict("neutral", own, 0.63)).when(c > 0, _verdict("constructive", own, 0.75))
+            .otherwise(_verdict("neutral", own, 0.67))
+        )
+
+    return let(F.struct(key.alias("k"), F.array_intersect(topics, session_topics).alias("own")), judged)
 
 
 def shortcut(text: Column, interruption: Column, greetings: Sequence[str] = GREETINGS, votes: Sequence[str] = VOTES, replies: Sequence[str] = REPLIES) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rostra.functions.references import first_law, law_topic, references
-from rostra.functions.text import analysis_text, export_text, holds_any, mapped_tokens, overlap_text, overlap_tokens, topic_words, variants
+from rostra.functions.text import analysis_text, export_text, holds_any, let, mapped_tokens, overlap_text, overlap_tokens, topic_words, variants
 
 #: The name of what fits no direction, and the direction of whatever names a law.
 OTHER, LEGISLATIVE = "altele", "proces legislativ si reforme"
@@ -47,14 +47,17 @@ def keyword_met(key: Column, word: str) -> Column:
 
 def topics_of(text: Column, taxonomy: Sequence[tuple[str, Sequence[str]]], most: int = 5) -> Column:
     """references, then the topics of the taxonomy in its order, `most` in all."""
-    key = analysis_text(text)
-    met = []
-    for topic, words in taxonomy:
-        any_ = F.lit(False)
-        for w in words:
-            any_ = any_ | keyword_met(key, w)
-        met.append(F.when(any_, F.lit(topic)))
-    return F.slice(F.array_distinct(F.concat(references(key, most), F.array_compact(F.array(*met)))), 1, most)
+
+    def found(key: Column) -> Column:
+        met = []
+        for topic, words in taxonomy:
+            any_ = F.lit(False)
+            for w in words:
+                any_ = any_ | keyword_met(key, w)
+            met.append(F.when(any_, F.lit(topic)))
+        return F.slice(F.array_distinct(F.concat(references(key, most), F.array_compact(F.array(*met)))), 1, most)
+
+    return let(analysis_text(text), found)
 
 
 def session_topics(speeches: DataFrame, notes: DataFrame, taxonomy: Sequence[tuple[str, Sequence[str]]], below: int = 30, least: int = 160, top: int = 20) -> DataFrame:
@@ -114,18 +117,25 @@ def _overlap(words: Column) -> Column:
 def snap(topics: DataFrame, session_labels: DataFrame) -> DataFrame:
     """C14: topics (session_id, id, topic) with the label of the session that is the same, else contains it or is contained, else shares most tokens.
 
-    Labels come in `position` order; containment needs six letters, tokens half and two in common.
+    Labels come in `position` order; containment needs six letters, tokens half and two in common. The forms of
+    topics and labels are made before they meet, and each different topic of a session is judged once. Equal ones
+    meet by a hash join; only topics without an equal label are compared with the labels of their session.
     """
-    label = session_labels.select("session_id", "label", "position", topic_words(F.col("label")).alias("label_key"))
-    j = topics.withColumn("key", topic_words(F.col("topic"))).join(label, "session_id")
-    a, b = _overlap(F.col("key")), _overlap(F.col("label_key"))
-    j = j.withColumn("common", F.size(F.array_intersect(a, b))).withColumn("score", F.try_divide(F.col("common"), F.greatest(F.size(a), F.size(b))))
+    forms = lambda rows, c: rows.withColumn("key", topic_words(F.col(c))).withColumn("tokens", _overlap(F.col("key")))
+    label = forms(session_labels.select("session_id", "label", "position"), "label").select("session_id", "label", "position", F.col("key").alias("label_key"), F.col("tokens").alias("label_tokens"))
+    keyed = topics.withColumn("key", topic_words(F.col("topic")))
+    each = keyed.where("key <> ''").select("session_id", "key").distinct()
+    equal = label.groupBy("session_id", F.col("label_key").alias("key")).agg(F.min_by("label", "position").alias("same"))
+    each = each.join(equal, ["session_id", "key"], "left")
+    open_ = each.where("same is null").select("session_id", "key", _overlap(F.col("key")).alias("tokens")).join(label, "session_id")
     inside = (F.length("key") >= 6) & (F.contains("label_key", F.col("key")) | F.contains("key", F.col("label_key")))
-    tier = F.when(F.col("key") == F.col("label_key"), 1).when(inside, 2).otherwise(3)
-    best = F.struct(F.col("tier"), F.when(F.col("tier") == 3, -F.col("score")).otherwise(0.0).alias("s"), "position")
-    ranked = j.where("key <> ''").withColumn("tier", tier).groupBy("session_id", "id").agg(F.min_by(F.struct("label", "tier", "score", "common"), best).alias("m"))
-    taken = F.when((F.col("m.tier") < 3) | ((F.col("m.score") >= 0.5) & (F.col("m.common") >= 2)), F.col("m.label"))
-    return topics.join(ranked, ["session_id", "id"], "left").select("session_id", "id", "topic", F.coalesce(taken, "topic").alias("snapped"))
+    common = F.size(F.array_intersect("tokens", "label_tokens"))
+    score = F.try_divide(common, F.greatest(F.size("tokens"), F.size("label_tokens")))
+    near = open_.select("session_id", "key", "label", "position", inside.alias("inside"), common.alias("common"), score.alias("score")).where("inside or (score >= 0.5 and common >= 2)")
+    best = F.struct(~F.col("inside"), F.when(F.col("inside"), 0.0).otherwise(-F.col("score")), "position")
+    chosen = near.groupBy("session_id", "key").agg(F.min_by("label", best).alias("other"))
+    named = each.join(chosen, ["session_id", "key"], "left").select("session_id", "key", F.coalesce("same", "other").alias("snapped"))
+    return keyed.join(named, ["session_id", "key"], "left").select("session_id", "id", "topic", F.coalesce("snapped", "topic").alias("snapped"))
 
 
 def active_thread(speeches: DataFrame, candidates: DataFrame, stopwords: Sequence[str] = (), top: int = 3, recent: int = 3) -> DataFrame:

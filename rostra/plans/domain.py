@@ -372,9 +372,9 @@ def chairs(spark, sf_dir):
     return table(spark, sf_dir, "benchmark").select("item_id", rules.chairs(notes).alias("chairs"))
 
 
-@query("f25_committee_report", "SELECT doc_id, doc_id % 3 = 0 AND length(regexp_extract_all(text, '[a-zA-ZăâîșțĂÂÎȘȚ]+')) >= 40 AS report FROM documents WHERE n_chars > 400")
+@query("f25_committee_report", "SELECT doc_id, doc_id % 3 = 0 AND length(regexp_extract_all(text, '[a-zA-ZăâîșțĂÂÎȘȚ]+')) >= 40 AS report FROM documents")
 def committee_report(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where("n_chars > 400")
+    d = table(spark, sf_dir, "documents")
     said = F.concat(F.lit("În conformitate cu prevederile art. 1, raportul comisiei a fost sesizat. "), "text")
     long_ = rules.plain_word_count(F.col("text")) >= 40
     return d.select("doc_id", (rules.committee_report(F.when(F.col("doc_id") % 3 == 0, said).otherwise(F.col("text"))) & long_).alias("report"))
@@ -481,11 +481,11 @@ DIRECTIONS = [("movement", ["thing", "tion"], ["ation"]), ("order", ["order"], [
 
 
 def _phrases(spark, sf_dir):
-    """doc_id, topic: the first words of each document."""
-    return table(spark, sf_dir, "documents").select("doc_id", "source", F.array_join(F.slice(F.split("text", r"\s+"), 1, 3), " ").alias("topic"))
+    """doc_id, topic: the whole text of each document."""
+    return table(spark, sf_dir, "documents").select("doc_id", "source", F.col("text").alias("topic"))
 
 
-_PHRASE = "phrases AS (SELECT doc_id, source, array_to_string(regexp_split_to_array(text, '\\s+')[1:3], ' ') AS topic FROM documents)"
+_PHRASE = "phrases AS (SELECT doc_id, source, text AS topic FROM documents)"
 _MAPPED = "list_filter(list_transform(regexp_extract_all(trim(regexp_replace(lower(strip_accents(topic)), '\\s+', ' ', 'g')), '[a-z0-9]+'), lambda w: CASE WHEN w IN ('ing', 'things') THEN 'thing' ELSE w END), lambda w: length(w) >= 3 AND w NOT IN ('and', 'the', 'with'))"
 _N3 = "trim(regexp_replace(lower(strip_accents(topic)), '\\s+', ' ', 'g'))"
 _TKEY = f"CASE WHEN length({_MAPPED}) > 0 THEN 'kw:' || array_to_string(list_sort(list_distinct({_MAPPED}))[1:6], '|') ELSE 'raw:' || {_N3} END"
@@ -551,8 +551,9 @@ _TOK = lambda c: f"list_distinct(list_filter(flatten(list_transform(list_filter(
 
 @query(
     "c14_snap_topic",
-    f"""WITH t AS (SELECT lang AS session_id, doc_id AS id, array_to_string(regexp_split_to_array(text, '\\s+')[1:4], ' ') AS topic FROM documents),
-l AS (SELECT lang AS session_id, doc_id AS position, array_to_string(regexp_split_to_array(text, '\\s+')[2:4], ' ') AS label FROM documents WHERE doc_id % 20 = 0),
+    f"""WITH {_SESSION_TOPICS}, o AS (SELECT session_id, speech_index, unnest({_topics_sql(FOLD, 5)}) AS topic FROM speeches),
+t AS (SELECT session_id, session_id || ':' || speech_index || ':' || topic AS id, CASE speech_index % 4 WHEN 0 THEN upper(topic) WHEN 1 THEN topic || ' tonight' WHEN 2 THEN 'order of things and laws' ELSE 'x' END AS topic FROM o),
+l AS (SELECT session_id, topic AS label, rank AS position FROM topics WHERE rank <= 20),
 j AS (SELECT t.*, label, position, {_K6('topic')} AS k, {_K6('label')} AS lk FROM t JOIN l USING (session_id)),
 s AS (SELECT *, {_TOK('k')} AS a, {_TOK('lk')} AS b, CASE WHEN k = lk THEN 1 WHEN length(k) >= 6 AND (contains(lk, k) OR contains(k, lk)) THEN 2 ELSE 3 END AS tier FROM j WHERE k <> ''),
 r AS (SELECT *, length(list_intersect(a, b)) AS common, length(list_intersect(a, b))::DOUBLE / nullif(greatest(length(a), length(b)), 0) AS score FROM s),
@@ -560,11 +561,12 @@ m AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY tier, CASE WHEN tier
 SELECT t.session_id, t.id, t.topic, coalesce(CASE WHEN tier < 3 OR (score >= 0.5 AND common >= 2) THEN label END, t.topic) AS snapped FROM t LEFT JOIN (SELECT * FROM m WHERE n = 1) USING (id)""",
 )
 def snap_topic(spark, sf_dir):
-    w = F.split("text", r"\s+")
-    d = table(spark, sf_dir, "documents")
-    t = d.select(F.col("lang").alias("session_id"), F.col("doc_id").alias("id"), F.array_join(F.slice(w, 1, 4), " ").alias("topic"))
-    labels = d.where("doc_id % 20 = 0").select(F.col("lang").alias("session_id"), F.col("doc_id").alias("position"), F.array_join(F.slice(w, 2, 3), " ").alias("label"))
-    return P.snap(t, labels)
+    k, own = F.col("speech_index") % 4, F.col("own")
+    said = speeches(spark, sf_dir).select("session_id", "speech_index", F.explode(P.topics_of(F.col("text"), TAXONOMY, 5)).alias("own"))
+    topic = F.when(k == 0, F.upper(own)).when(k == 1, F.concat(own, F.lit(" tonight"))).when(k == 2, "order of things and laws").otherwise("x")
+    t = said.select("session_id", F.concat_ws(":", "session_id", "speech_index", "own").alias("id"), topic.alias("topic"))
+    labels = P.session_topics(speeches(spark, sf_dir), _notes(spark, sf_dir), TAXONOMY)
+    return P.snap(t, labels.select("session_id", F.col("topic").alias("label"), F.col("rank").alias("position")))
 
 
 @query("c16_topic_mention", f"WITH {SPEECHES_SQL} SELECT session_id, speech_index, contains({_KEY9}, 'thing') OR (contains({_KEY9}, 'mente') AND contains({_KEY9}, 'cion')) AS mentioned FROM speeches")
@@ -576,13 +578,13 @@ def topic_mention(spark, sf_dir):
     "c17_active_thread",
     f"""WITH {SPEECHES_SQL}, {NOTES_SQL}, said AS (SELECT session_id, speech_index, string_agg(text, ' ') OVER (PARTITION BY session_id ORDER BY speech_index ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS s FROM speeches),
 tk AS (SELECT *, lower(strip_accents(s)) AS norm, list_distinct(list_filter(regexp_extract_all(lower(strip_accents(s)), '[a-z0-9]+'), lambda w: length(w) >= 4)) AS tokens FROM said),
-cand AS (SELECT session_id, CASE WHEN n = 1 THEN 'agenda item' ELSE 'session topic' END AS source, array_to_string(w[n:n + 2], ' ') AS label, array_to_string(w[n:n + 5], ' ') AS detail FROM (SELECT session_id, regexp_split_to_array(initial_notes, '\\s+') AS w, unnest([1, 4, 7]) AS n FROM notes)),
+cand AS (SELECT session_id, CASE WHEN n = 1 THEN 'agenda item' ELSE 'session topic' END AS source, array_to_string(w[n:n + 2], ' ') AS label, array_to_string(w[n:n + 5], ' ') AS detail FROM (SELECT session_id, regexp_split_to_array(initial_notes, '\\s+') AS w, unnest(range(1, length(regexp_split_to_array(initial_notes, '\\s+')) + 1, 3)) AS n FROM notes)),
 ct AS (SELECT *, list_distinct(list_filter(regexp_extract_all(lower(strip_accents(detail)), '[a-z0-9]+'), lambda w: length(w) >= 4)) AS own, trim(lower(strip_accents(label))) AS v FROM cand),
 sc AS (SELECT t.session_id, speech_index, source, label, length(list_intersect(tokens, own)) + CASE WHEN v <> '' AND contains(norm, v) THEN 2 ELSE 0 END AS score FROM tk t JOIN ct USING (session_id) WHERE length(tokens) > 0 AND length(own) > 0)
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY session_id, speech_index ORDER BY score DESC, source, label) AS rank FROM sc WHERE score > 0) WHERE rank <= 3""",
 )
 def active_thread(spark, sf_dir):
-    n = _notes(spark, sf_dir).select("session_id", F.split("initial_notes", r"\s+").alias("w"), F.explode(F.array(F.lit(1), F.lit(4), F.lit(7))).alias("n"))
+    n = _notes(spark, sf_dir).select("session_id", F.split("initial_notes", r"\s+").alias("w"), F.explode(F.sequence(F.lit(1), F.size(F.split("initial_notes", r"\s+")), F.lit(3))).alias("n"))
     c = n.select("session_id", F.when(F.col("n") == 1, "agenda item").otherwise("session topic").alias("source"), F.array_join(F.slice("w", F.col("n"), F.lit(3)), " ").alias("label"), F.array_join(F.slice("w", F.col("n"), F.lit(6)), " ").alias("detail"))
     return P.active_thread(speeches(spark, sf_dir), c)
 

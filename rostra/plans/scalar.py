@@ -130,9 +130,9 @@ def sanitize(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", T.safe_name(F.col("url")).alias("name"))
 
 
-@query("p01_merge_text", "SELECT page_id, array_to_string(list_filter([trim(url), trim('  '), trim(left(html, 20), ' ' || chr(10) || chr(9))], lambda x: x <> ''), ' ') AS merged FROM pages")
+@query("p01_merge_text", "SELECT page_id, array_to_string(list_filter([trim(url), trim('  '), trim(html, ' ' || chr(10) || chr(9))], lambda x: x <> ''), ' ') AS merged FROM pages")
 def merge_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", T.merged_text(F.col("url"), F.lit("  "), F.left("html", F.lit(20))).alias("merged"))
+    return table(spark, sf_dir, "pages").select("page_id", T.merged_text(F.col("url"), F.lit("  "), F.col("html")).alias("merged"))
 
 
 @query("p02_ids", f"WITH {SPEECHES_SQL} SELECT session_id, speech_index, 'iv:' || substr(sha1('session_' || session_id || '.json'), 1, 12) || ':' || speech_index AS intervention_id, sha256(text) AS text_hash FROM speeches")

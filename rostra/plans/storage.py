@@ -259,15 +259,18 @@ def model_settings(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", scoring.model_settings(m, F.when(k == 2, "openai").otherwise("ollama")).alias("s")).select("doc_id", "s.*")
 
 
+_FITS = f"length({FOLD.replace('text', 'substr(text, 5, 60)')}) >= 24"
+
+
 @query(
     "c18_realign",
-    f"""WITH {SPEECHES_SQL}, items AS (SELECT session_id, speech_index AS position, speech_index + CASE WHEN speech_index % 3 = 2 THEN 100 ELSE 0 END AS item_index, CASE WHEN speech_index % 3 = 0 THEN '' ELSE substr(text, 5, 60) END AS quote FROM speeches)
-SELECT session_id, speech_index, speech_index AS position, CASE WHEN speech_index % 3 = 2 THEN 2 ELSE 1 END AS tier FROM speeches WHERE length(text) >= 80""",
+    f"""WITH {SPEECHES_SQL}, q AS (SELECT session_id, speech_index, speech_index % 3 AS m, {_FITS} AS fits FROM speeches)
+SELECT session_id, speech_index, speech_index AS position, CASE WHEN m = 0 THEN 1 WHEN m = 2 THEN 2 WHEN fits THEN 1 ELSE 3 END AS tier FROM q WHERE m < 2 OR fits""",
 )
 def realign(spark, sf_dir):
     s = speeches(spark, sf_dir)
     items = s.select("session_id", F.col("speech_index").alias("position"), (F.col("speech_index") + F.when(F.col("speech_index") % 3 == 2, 100).otherwise(0)).alias("item_index"), F.when(F.col("speech_index") % 3 == 0, "").otherwise(F.substring("text", 5, 60)).alias("quote"))
-    return scoring.realigned(s.where(F.length("text") >= 80), items)
+    return scoring.realigned(s, items)
 
 
 _SHORT = f"(({D._BARE}) OR (length(text) < 120 AND NOT {D._BUILT}))"
@@ -306,7 +309,7 @@ def quarantine(spark, sf_dir):
 def binary_scan(spark, sf_dir):
     from rostra.sources.registry import read_files
 
-    return read_files(spark, f"{sf_dir}/nation.parquet").drop("modified")
+    return read_files(spark, f"{sf_dir}/*.parquet").drop("modified")
 
 
 @query("t05_stale_index", f"WITH {D.CHUNKS_SQL}, h AS (SELECT session_id, substr(sha256(string_agg(chunk_id || text, '' ORDER BY chunk_index)), 1, 16) AS content_hash FROM chunks GROUP BY session_id) SELECT session_id, content_hash FROM h WHERE session_id::BIGINT % 2 = 0")
