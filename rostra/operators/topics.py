@@ -23,7 +23,7 @@ def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
 def keywords(taxonomy: DataFrame) -> DataFrame:
     """Rank, topic, keyword: label, aliases, roots and mapped tokens of the rule of that label, and the terms mapped to one of those."""
     t = taxonomy.select("*", F.posexplode("catalog_topics").alias("rank", "c"))
-    t = t.withColumn("rule", F.element_at(F.filter("direction_rules", lambda r: r["label"] == F.col("c.label")), -1))
+    t = t.withColumn("rule", F.try_element_at(F.filter("direction_rules", lambda r: r["label"] == F.col("c.label")), F.lit(-1)))
     none = F.array().cast("array<string>")
     mapped = F.coalesce("rule.mapped_tokens", none)
     normal = F.transform(mapped, analysis_text)

@@ -134,8 +134,8 @@ def test_model_answers(spark):
     assert scoring.unwrapped('```json\n{"data": "{\\"results\\": [1]}"}\n```') == "[1]" and scoring.unwrapped("nothing") is None and scoring.unwrapped(None) is None
     assert scoring.unwrapped('{"speech_index": 1, "qa_action": "x"}') == '[{"speech_index": 1, "qa_action": "x"}]'
     rows = spark.createDataFrame([("s", 0, "x" * 10), ("s", 1, "y" * 900)], "session_id string, speech_index long, text string")
-    got = {r.speech_index: (r.label, r.source) for r in scoring.layered(rows, F.when(F.col("speech_index") == 0, "short")).collect()}
-    assert got == {0: ("neutral", "shortcut"), 1: ("constructive", "model")}
+    got = {r.speech_index: json.loads(r.answer)["results"][0]["constructiveness_label"] for r in scoring.scored(rows, "text").collect()}
+    assert got == {0: "neutral", 1: "constructive"}
 
     def broken():
         def score(prompts):
@@ -143,7 +143,7 @@ def test_model_answers(spark):
 
         return score
 
-    assert {r.source for r in scoring.layered(rows, F.lit(None).cast("string"), broken).collect()} == {"failed"}
+    assert {r.answer for r in scoring.scored(rows, "text", broken).collect()} == {None}
 
 
 def test_sources(spark, tmp_path):
@@ -174,3 +174,59 @@ def test_files_are_processed_once(spark, tmp_path):
     run()
     assert seen == [[("a.json", "new"), ("b.json", "new")], [("c.json", "new")]]
     assert incremental.read_ledger(spark, str(ledger)).count() == 3
+
+
+def test_state_tables_are_made_once_and_grow_columns(spark, tmp_path):
+    from rostra.sources import tables
+
+    assert set(tables.create_tables(spark, str(tmp_path))) == set(tables.STATE) and tables.create_tables(spark, str(tmp_path)) == []
+    spark.createDataFrame([("r1", "s", "p", "a", 3.0)], "run_id string, session_id string, stenogram_path string, raw_speaker string, extra double").write.mode("append").parquet(f"{tmp_path}/unmatched_speakers")
+    [row] = tables.read_table(spark, str(tmp_path), "unmatched_speakers").collect()
+    assert row.occurrences == 1 and row.normalized_speaker is None and "extra" not in row
+
+
+def test_an_index_is_made_anew_only_where_chunks_changed(spark, tmp_path):
+    from rostra.sources import tables
+
+    shape = "session_id string, chunk_index long, chunk_id string, chunk_type string, source_speech_index long, text string"
+    rows = [("1", 0, "ch:1:0", "speech", 0, "first words"), ("2", 0, "ch:2:0", "speech", 0, "second words")]
+    assert tables.read_index(spark, str(tmp_path / "none")) is None
+    tables.write_index(tables.updated_index(spark.createDataFrame(rows, shape), None), str(tmp_path / "a"))
+    old = tables.read_index(spark, str(tmp_path / "a"))
+    rows[1] = ("2", 0, "ch:2:0", "speech", 0, "changed words")
+    marked = lambda text: [9.0]
+    got = {r.session_id: r for r in tables.updated_index(spark.createDataFrame(rows, shape), old, marked).collect()}
+    assert len(got["1"].embedding) == 64 and got["2"].embedding == [9.0] and got["2"].text == "changed words" and len(got) == 2
+
+
+def test_prompts_that_fail_leave_their_neighbours_alone(spark):
+    from rostra.operators import scoring
+
+    def factory():
+        tries = {}
+
+        def score(prompts):
+            for p in prompts:
+                tries[p] = tries.get(p, 0) + 1
+            if "bad" in prompts or ("slow" in prompts and tries["slow"] < 3):
+                raise ValueError("no")
+            return ["{}" if p.startswith(scoring.MEND) else "{" if p == "torn" else p.upper() for p in prompts]
+
+        return score
+
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(["a", "bad", "slow", None, "torn", "b"])], "i int, p string").coalesce(1)
+    got = {r.p: r.answer for r in scoring.scored(rows, "p", factory, readable=lambda a: a != "{").collect()}
+    assert got == {"a": "A", "bad": None, "slow": "SLOW", None: None, "torn": "{}", "b": "B"}
+
+
+def test_classify_takes_the_architecture_of_the_model(spark):
+    import json
+
+    from rostra.operators import orchestration
+
+    rows = [("1", i, "A", "word " * 30, None, [], ["t"]) for i in range(3)]
+    s = spark.createDataFrame(rows, "session_id string, speech_index long, raw_speaker string, text string, interruption string, chairs array<string>, session_topics array<string>")
+    answer = json.dumps([{"speech_index": 1, "constructiveness_label": "constructive", "confidence": 0.8, "topics": ["t", "T"]}])
+    got = orchestration.classify(s, s.where("speech_index = 0"), "gpt", "openai", {"model": lambda: lambda ps: [answer for _ in ps]}).collect()
+    assert {r.speech_index for r in got} == {1, 2} and {r.architecture for r in got} == {"one_pass"}
+    assert next(r for r in got if r.speech_index == 1).topics == ["t"] and all(r.label == "constructive" for r in got)
