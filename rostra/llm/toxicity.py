@@ -160,9 +160,10 @@ class Index:
         return math.log(share / (1 - share))
 
     def score(self, texts: list[str | None], step: int = 256) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        one_sided = not 0 < float(self.toxic.sum()) < len(self.toxic)
         for at in range(0, len(texts), step):
             for best, cosine in self.nearest([self.vector(x) for x in texts[at : at + step]]):
-                yield 1 / (1 + math.exp(-(self.slope * self.vote(best, cosine) + self.shift))), best, cosine
+                yield min(self.prior, 0.5) if one_sided else 1 / (1 + math.exp(-(self.slope * self.vote(best, cosine) + self.shift))), best, cosine
 
     def calibrate(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
         """A logistic fit (Platt) of the labels to the votes that each example gets from all others.
@@ -211,7 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 2500) -> Index:
     deviations, beyond two, by which its share of toxic examples is off theirs, and a little for all terms; for in
     the cosine of a long text the many words that say nothing would else drown the few that do. So the driver
     holds the terms of the sample and no more. Null labels are left out, of several labels of an id the highest
-    counts; without labels, or with one label only, every score is the share of toxic ones.
+    counts; without labels, or with one label only, nothing can be told apart: every score is the share of toxic
+    ones, but 0.5 at most.
     """
     kind = docs.schema["doc_id"].dataType
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast(kind).alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))

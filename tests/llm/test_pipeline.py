@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 import corpus_pipeline
 from rostra.llm.common import cut
 from rostra.llm.sharding import jump_hash, stable_key
@@ -40,3 +42,39 @@ def test_stages(spark, tmp_path):
 
     assert all(x.shard == jump_hash(stable_key(pd.Series([str(x.doc_id)])), 24)[0] for x in at.collect())
     assert sorted(map(str, corpus_pipeline.run(spark, str(tmp_path)).collect())) == sorted(map(str, at.collect()))
+
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, toxicity string, hits string, text_hash string, copies long, nth long, words string, part string"
+
+
+def tables_at(spark, path, rows):
+    docs = spark.createDataFrame(rows, COLUMNS)
+    docs.write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(1, 1, 1), (None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame([(None, "an item of the benchmark, long enough"), (2, None)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return docs
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_a_stage_leaves_an_empty_table_empty(spark, tmp_path, stage):
+    docs = tables_at(spark, tmp_path, [])
+    got = corpus_pipeline.STAGES[stage][1](spark, docs, str(tmp_path))
+    assert got.count() == 0 and set(docs.columns) <= set(got.columns)
+
+
+def test_nulls_repeats_long_texts_and_clashing_columns(spark, tmp_path):
+    r = random.Random(12)
+    text = lambda n: " ".join("".join(r.choice("abcdefghijk") for _ in range(r.randint(2, 8))) for _ in range(n))
+    more = ("tox", "hit", "hash", 7, 8, "w", "p")
+    rows = [(i, text(40), None, "s", None, *more) for i in range(1, 20)]
+    rows += [(None, text(30), "en", None, 3, *more), (None, None, None, None, None, *[None] * 7), (30, "", "en", "s", 0, *more), (31, None, "en", "s", 0, *more), rows[4], rows[4], (40, text(60_000), "en", "s", 1, *more)]
+    docs = tables_at(spark, tmp_path, rows)
+    at, kept = docs, []
+    for name, stage in corpus_pipeline.STAGES:
+        at = cut(stage(spark, at, str(tmp_path)))
+        kept.append(at.count())
+        assert at.columns == docs.columns + (["shard"] if name == "sharding" else [])
+        assert at.where("text is not null and toxicity = 'tox' and hits = 'hit' and text_hash = 'hash' and copies = 7 and nth = 8 and words = 'w' and part = 'p'").count() == at.where("text is not null").count()
+    # the two repeats and two of the three texts without a word go
+    assert kept[:3] == [len(rows), len(rows) - 4, len(rows) - 4]
+    assert at.where("doc_id = 40").count() >= 1
