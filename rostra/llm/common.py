@@ -83,6 +83,14 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(df: DataFrame, first: str, n: str, into: str, step: int = 1 << 16) -> DataFrame:
+    """df with each row as often as its column n says, numbered from its column `first` on; no array is longer than `step`."""
+    at, one = fresh(df, "from_here"), fresh(df, "nth_here")
+    parts = df.where(F.col(n) > 0).withColumn(at, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(step).cast("long"))))
+    each = parts.withColumn(one, F.explode(F.sequence(F.col(at), F.least(F.col(at) + step, F.col(n)) - 1)))
+    return each.withColumn(into, F.col(first) + F.col(one)).drop(at, one)
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

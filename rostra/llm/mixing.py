@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostra.llm.common import cut, fresh, n_words
+from rostra.llm.common import cut, fresh, n_words, numbered
 
 #: Within this much of an integer, a copy count is that integer.
 EXACT = 1e-9
@@ -139,7 +139,7 @@ def mix_manifest(docs: DataFrame, **options) -> DataFrame:
     mixed = mix_counts(docs, n_words(docs["text"]), **options)
     own = F.floor(F.col("copies") / F.col("rows")) + F.when(F.col("nth") < F.col("copies") % F.col("rows"), 1).otherwise(0)
     return (
-        mixed.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
+        numbered(mixed.withColumn("zero", F.lit(0).cast("long")), "zero", "rows", "nth")
         .withColumn("copies", own.cast("long"))
         .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
     )

@@ -121,21 +121,38 @@ def weigh_rules(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) ->
     return good, right.sum(axis=0) / np.maximum(voted.sum(axis=0), 1e-9), share
 
 
+def _voted(docs: DataFrame) -> DataFrame:
+    """doc_id, the counts and the votes, as text, of every row of docs; written once."""
+    marks = F.concat_ws(",", *[v.cast("string") for v in votes().values()])
+    return cut(docs.select("doc_id", F.pandas_udf(_counted, ", ".join(f"{n} long" for n in _COUNTS))(docs["text"]).alias("c")).select("doc_id", "c.*").select("*", marks.alias("votes")))
+
+
+def _weighed(rated: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, float]:
+    """The patterns of votes, the chance that each is good, the rules' accuracies and the share of good; the driver gets a row a pattern."""
+    held = rated.groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").collect()
+    patterns = np.array([[int(v) for v in r[0].split(",")] for r in held], np.int64).reshape(-1, len(votes()))
+    return [r[0] for r in held], *weigh_rules(patterns, np.array([r[1] for r in held], float))
+
+
 def rate_quality(docs: DataFrame, keep: float = 0.5) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, quality and votes of every row of docs.
 
-    quality is the posterior chance that the rules' votes mean a good text, kept that it reaches `keep` and
-    the base rule (20 words at least, repeated words 30 % at most) holds. Counts are over whole texts; null
-    and empty texts have none and fail the base rule; repeated rows and null ids are rated like any other; an
-    empty table gives no rows. The driver gets one row for each pattern of votes, at most 3 ** 10.
+    quality is the posterior chance that the rules' votes mean a good text, kept that it reaches `keep`, also
+    when it just does, and the base rule (20 words at least, repeated words 30 % at most) holds. Counts are over
+    whole texts, however long; null and empty texts have none and fail the base rule; repeated rows and null ids
+    are rated like any other; an empty table gives no rows; other columns are ignored. The driver gets one row for
+    each pattern of votes, at most 3 ** 10.
     """
-    rules = votes()
-    rated = cut(docs.select("doc_id", F.pandas_udf(_counted, ", ".join(f"{n} long" for n in _COUNTS))(docs["text"]).alias("c")).select("doc_id", "c.*").select("*", F.concat_ws(",", *[v.cast("string") for v in rules.values()]).alias("votes")))
-    held = rated.groupBy("votes").agg(F.count("*").alias("n")).orderBy("votes").collect()
-    patterns = np.array([[int(v) for v in r[0].split(",")] for r in held], np.int64).reshape(-1, len(rules))
-    good, _, _ = weigh_rules(patterns, np.array([r[1] for r in held], float))
-    chance = docs.sparkSession.createDataFrame([(r[0], float(g)) for r, g in zip(held, good)], "votes string, quality double")
+    rated = _voted(docs)
+    patterns, good, _, _ = _weighed(rated)
+    chance = docs.sparkSession.createDataFrame([(p, float(g)) for p, g in zip(patterns, good)], "votes string, quality double")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return rated.join(F.broadcast(chance), "votes").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & (F.col("quality") >= keep)).alias("kept"), "quality", "votes"
     )
+
+
+def rule_accuracies(docs: DataFrame) -> DataFrame:
+    """rule, accuracy: how often, by the estimate, each rule's vote on docs is right when it doesn't abstain."""
+    _, _, accuracy, _ = _weighed(_voted(docs))
+    return docs.sparkSession.createDataFrame([(k, float(x)) for k, x in zip(votes(), accuracy)], "rule string, accuracy double")

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rostra.llm.common import cut
+from rostra.llm.common import cut, numbered
 
 
 def jump_hash(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -71,12 +71,8 @@ def shard_manifest(docs: DataFrame, shards: int = 24, spread: int = 256) -> Data
         .select("shard", "part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("offset"))
     )
     within = Window.partitionBy("shard", "part").orderBy(F.col("doc_id").asc_nulls_first(), "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("offset") + F.col("ahead")
-    return (
+    placed = (
         rows.withColumn("ahead", F.coalesce(F.sum("rows").over(within), F.lit(0)))
-        .join(F.broadcast(offsets), ["shard", "part"])
-        .select(
-            "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
-            F.explode(F.sequence(first, first + F.col("rows") - 1)).alias("slot"), "grown_shard",
-        )
+        .join(F.broadcast(offsets), ["shard", "part"]).withColumn("first", F.col("offset") + F.col("ahead"))
     )
+    return numbered(placed, "first", "rows", "slot").select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")

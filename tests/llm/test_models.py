@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 from collections import Counter
 from itertools import product
 
@@ -37,6 +38,31 @@ def test_quality_counts_and_verdicts(spark):
     assert quality.rate_quality(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_base_columns_against_plain_counts(spark):
+    r = random.Random(41)
+    word = lambda: r.choice(["ab", "c", "d#", "\u00e9e", "||", "long-word", "x", "$%&", "\u00a0n"])
+    gap = lambda: r.choice([" ", " ", "\n", "\t", "  ", " \n\n", "\x0b", "\u2003"])
+    texts = ["".join(word() + gap() for _ in range(r.randint(0, 90))) for _ in range(60)] + [None, "", " \n\t", "a b c d e f g h " * 9, "same line\nsame line\n same line\n\n\nsame line"]
+    got = {x.doc_id: x for x in quality.rate_quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    blank = " \t\n\x0b\x0c\r"
+    for i, t in enumerate(texts):
+        t = t or ""
+        split = re.findall(r"[^\x20\x09-\x0D]+", t)
+        lines = [x for x in t.split("\n") if x.strip(blank)]
+        windows = [tuple(split[k : k + 8]) for k in range(len(split) - 7)]
+        again = {k + j for k, w in enumerate(windows) if windows.count(w) > 1 for j in range(8)}
+        want = (len(split), sum(map(len, split)), sum(c in "#*$%&|<>" for c in t), sum(x in lines[:k] for k, x in enumerate(lines)), len(again))
+        x = got[i]
+        assert (x.n_words, x.word_chars, x.n_symbols, x.n_dup_lines, x.n_repeat_words) == want
+        assert x.base_failed == (want[0] < 20 or 100 * want[4] > 30 * want[0]) and (x.kept == (not x.base_failed and x.quality >= 0.5))
+
+
+def test_accuracies_are_told(spark):
+    docs = spark.createDataFrame([(i, "word " * 5 + "other words of a text, with marks. " * (i % 9)) for i in range(50)], "doc_id long, text string")
+    got = {x.rule: x.accuracy for x in quality.rule_accuracies(docs).collect()}
+    assert set(got) == set(quality.votes()) and all(0 <= x <= 1 for x in got.values())
+
+
 def test_em_finds_accuracies():
     rng = np.random.default_rng(3)
     truth = rng.random(4000) < 0.8

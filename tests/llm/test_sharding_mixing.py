@@ -131,3 +131,11 @@ def test_no_python_in_the_plan_of_the_mix(spark, capsys):
 def test_mix_of_text_ids(spark):
     docs = spark.createDataFrame([(f"d{i}", "a b c", f"s{i % 2}") for i in range(40)], "doc_id string, text string, source string")
     assert mixing.mix_manifest(docs).count() == 40 and mixing.mix(docs).columns == docs.columns
+
+
+def test_rows_are_numbered_in_steps(spark):
+    from rostra.llm.common import numbered
+
+    df = spark.createDataFrame([("a", 5, 7), ("b", 0, 3), ("c", 2, 0)], "k string, first long, n long")
+    got = sorted((x.k, x.at) for x in numbered(df, "first", "n", "at", step=3).collect())
+    assert got == [("a", 5 + i) for i in range(7)] + [("b", i) for i in range(3)]
