@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rostra.functions.text import export_text, law_form, or_empty, squeezed
+from rostra.functions.text import export_text, law_form, let, or_empty, squeezed
 
 # Families of references and what marks them, in the order in which they are tried.
 BASELINE_FAMILIES = [
@@ -74,12 +74,12 @@ def law_topic(c: Column, prefixes: Sequence[str] = LAW_TOPIC_PREFIXES) -> Column
 
 def first_law(c: Column, families: Families = TOPIC_FAMILIES) -> Column:
     """the first reference by order of families; null without one."""
-    return _first(export_text(c), families)
+    return let(export_text(c), lambda t: _first(t, families))
 
 
 def all_laws(c: Column, families: Families = NUMBER_FAMILIES) -> Column:
     """each once, sorted."""
-    return F.array_sort(F.array_distinct(_all(export_text(c), families)))
+    return let(export_text(c), lambda t: F.array_sort(F.array_distinct(_all(t, families))))
 
 
 def indexed_laws(c: Column, families: Families = INDEX_FAMILIES, generic: str = GENERIC_NUMBER, context: str = LEGISLATIVE_CONTEXT) -> Column:

@@ -76,16 +76,20 @@ def session_topics(speeches: DataFrame, notes: DataFrame, taxonomy: Sequence[tup
 def topic_key(topic: Column, equivalents: dict[str, str], stopwords: Sequence[str]) -> Column:
     """By law, else by the first six sorted tokens, else by the text."""
     tokens = F.slice(F.array_sort(F.array_distinct(mapped_tokens(topic, equivalents, stopwords))), 1, 6)
-    return F.coalesce(F.concat(F.lit("law:"), F.lower(first_law(topic))), F.when(F.size(tokens) > 0, F.concat(F.lit("kw:"), F.array_join(tokens, "|"))), F.concat(F.lit("raw:"), export_text(topic)))
+    by_tokens = let(tokens, lambda t: F.when(F.size(t) > 0, F.concat(F.lit("kw:"), F.array_join(t, "|"))))
+    return let(F.concat(F.lit("law:"), F.lower(first_law(topic))), lambda law: F.coalesce(law, by_tokens, F.concat(F.lit("raw:"), export_text(topic))))
 
 
 def direction(topic: Column, rules: Sequence[tuple[str, Sequence[str], Sequence[str]]], equivalents: dict[str, str], stopwords: Sequence[str]) -> Column:
     """the first rule of which a token or root is met."""
-    key, tokens = export_text(topic), mapped_tokens(topic, equivalents, stopwords)
-    out = F.when(first_law(topic).isNotNull(), LEGISLATIVE)
-    for label, mapped, roots in rules:
-        out = out.when(F.arrays_overlap(tokens, F.array(*map(F.lit, mapped)).cast("array<string>")) | holds_any(key, roots), label)
-    return out.otherwise(OTHER)
+
+    def ruled(of: Column) -> Column:
+        out = F.when(of["law"], LEGISLATIVE)
+        for label, mapped, roots in rules:
+            out = out.when(F.arrays_overlap(of["tokens"], F.array(*map(F.lit, mapped)).cast("array<string>")) | holds_any(of["key"], roots), label)
+        return out.otherwise(OTHER)
+
+    return let(F.struct(export_text(topic).alias("key"), mapped_tokens(topic, equivalents, stopwords).alias("tokens"), first_law(topic).isNotNull().alias("law")), ruled)
 
 
 def canonical(topics: DataFrame, key: Column) -> DataFrame:
