@@ -5,6 +5,7 @@ The forms differ in observable ways (case, white space, what is cut first), so e
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Callable, Iterable
 
@@ -32,11 +33,37 @@ def _accents() -> tuple[str, str]:
 _FROM, _TO = _accents()
 
 
+def _marks() -> tuple[str, str, str]:
+    """Letters whose canonical form is one of A-Z or a-z and marks, those letters, and a class of the marks of all scripts.
+
+    The marks are listed, as the Unicode of the JVM may be older.
+    """
+    pairs, ranges = [], []
+    for code in range(0x80, sys.maxunicode + 1):
+        c = chr(code)
+        if unicodedata.category(c)[0] == "M":
+            if ranges and ranges[-1][1] == code - 1:
+                ranges[-1][1] = code
+            else:
+                ranges.append([code, code])
+        elif (bare := unicodedata.normalize("NFD", c)[0]) != c and bare.isascii() and bare.isalpha():
+            pairs.append((c, bare))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs), "[" + "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in ranges) + "]+"
+
+
+_MARKED, _BARE, _ANY_MARKS = _marks()
+
+
 def plain(c: Column) -> Column:
     """Without the accents of Latin letters; combining marks go."""
     return F.translate(c, _FROM, _TO)
 
 
+def unmarked(c: Column) -> Column:
+    """Without the marks of any script; unlike plain, letters that are only compatible with plain ones stay. Null stays null."""
+    return F.regexp_replace(F.translate(c, _MARKED, _BARE), _ANY_MARKS, "")
+
+
 def casefold(c: Column) -> Column:
     return F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
 

@@ -83,3 +83,13 @@ def test_no_query_of_the_library_needs_python_workers(spark):
         if name not in needs:
             plan = q(spark, str(SF))._jdf.queryExecution().optimizedPlan().toString()
             assert "Python" not in plan and "Pandas" not in plan, name
+
+
+def test_overlap_reads_words_like_the_sql(spark, tmp_path):
+    # Sharp and long s end a word, marks of any script do not, and a null text has null counts.
+    texts = ["große Straße ist groß und fuß an fuß", "ſo iſt es", "ab́c a֑b ab࢘c Å̧ K ǆ ﬁn", "İstanbul ÉTÉ étè été", "", "!!", None]
+    spark.createDataFrame(list(enumerate(texts * 2)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    duck = duckdb.connect()
+    duck.sql(f"CREATE VIEW benchmark AS SELECT * FROM '{tmp_path}/benchmark.parquet/*.parquet'")
+    got = catalog.QUERIES["d12_overlap"](spark, str(tmp_path)).select("item_id", "tp", "fp", "fn").collect()
+    assert sorted(map(tuple, got)) == sorted(duck.sql(catalog.ORACLE["d12_overlap"]).fetchall())
