@@ -339,9 +339,11 @@ def keep_one(docs: DataFrame, families: int = 4, radius: int = 4, confirm: int =
     several = parts.groupBy("part").agg(F.count("*").alias("m")).where("m > 1").select("part")
     grouped = parts.join(several, "part", "left_semi")
     members = nodes.join(grouped, nodes["shingles"] == grouped["node"]).select(F.col("part").alias("component"), "shingles", "size", F.col("k.doc_id").alias("own_id"), F.col("k.text_hash").alias("own_hash"))
-    near = connected_components(shingle_links(read, cut(members), confirm, least, most)).withColumnRenamed("component", "part")
-    whole = nodes.join(near, nodes["shingles"] == near["node"], "left").withColumn("part", F.coalesce("part", "shingles"))
-    kept = whole.groupBy("part").agg(F.min("k").alias("k"), F.sum("n").alias(n)).select(F.col("k.doc_id").alias(own), F.col("k.text_hash").alias(kept_mark), n)
+    members = cut(members)
+    near = connected_components(shingle_links(read, members, confirm, least, most))
+    whole = nodes.join(near.withColumnRenamed("component", "part"), nodes["shingles"] == near["node"], "left").withColumn("part", F.coalesce("part", "shingles"))
+    kept = cut(whole.groupBy("part").agg(F.min("k").alias("k"), F.sum("n").alias(n)).select(F.col("k.doc_id").alias(own), F.col("k.text_hash").alias(kept_mark), n))
+    released(nodes, members, near)
     found = marked.join(kept, F.col("doc_id").eqNullSafe(F.col(own)) & (F.col(mark) == F.col(kept_mark)))
     # Only a group of several rows can hold the kept row twice.
     columns = [F.col(f"`{c}`") for c in docs.columns]

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostra.llm.common import cut, share, taken
+from rostra.llm.common import cut, released, share, taken
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 STEM = 4
@@ -241,7 +241,10 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = 2500) -> Index:
     df = np.zeros(len(vocabulary) + 1)
     df[counts.column("term").to_numpy()] = counts.column("n").to_numpy()  # the last is that of all rows
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    return _indexed(single, vocabulary, shared, idf * _telling(found.column("a").to_numpy(), found.column("m").to_numpy(), single), prior)
+    index = _indexed(single, vocabulary, shared, idf * _telling(found.column("a").to_numpy(), found.column("m").to_numpy(), single), prior)
+    shared.destroy()
+    released(known, ids, sample, single)
+    return index
 
 
 def _telling(toxic: np.ndarray, of: np.ndarray, single: DataFrame) -> np.ndarray:
@@ -259,10 +262,14 @@ def _indexed(single: DataFrame, vocabulary: dict[str, int], shared, idf: np.ndar
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), terms, batch.column(3)], names=["doc_id", "toxic", "term", "n"])
 
     kind = single.schema["doc_id"].dataType
-    rows = single.mapInArrow(narrowed, f"doc_id {kind.simpleString()}, toxic int, term array<int>, n array<int>").toArrow().to_pylist()
-    rows.sort(key=lambda r: (-r["toxic"], sorted(r["term"]), r["doc_id"]))
-    index = Index(vocabulary, idf, np.array([r["doc_id"] for r in rows]), np.array([r["toxic"] for r in rows], np.float64), prior)
-    vectors = [index.weigh(np.array(r["term"], np.int64), np.array(r["n"], np.float64)) for r in rows]
+    # Lists of Python's numbers would take the driver ten times the memory of these arrays.
+    rows = single.mapInArrow(narrowed, f"doc_id {kind.simpleString()}, toxic int, term array<int>, n array<int>").toArrow().combine_chunks()
+    ids, toxic = rows.column("doc_id").to_pylist(), rows.column("toxic").to_pylist()
+    term, n = ([x.values.to_numpy() for x in rows.column(c)] for c in ("term", "n"))
+    order = sorted(range(len(ids)), key=lambda i: (-toxic[i], np.sort(term[i]).astype(">u4").tobytes(), ids[i]))
+    index = Index(vocabulary, idf, np.array([ids[i] for i in order]), np.array([toxic[i] for i in order], np.float64), prior)
+    vectors = [index.weigh(term[i].astype(np.int64), n[i].astype(np.float64)) for i in order]
+    del rows, term, n
     index.build(vectors)
     index.calibrate(vectors)
     return index

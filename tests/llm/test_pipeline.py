@@ -78,3 +78,23 @@ def test_nulls_repeats_long_texts_and_clashing_columns(spark, tmp_path):
     # the two repeats and two of the three texts without a word go
     assert kept[:3] == [len(rows), len(rows) - 4, len(rows) - 4]
     assert at.where("doc_id = 40").count() >= 1
+
+
+def test_a_cut_leaves_no_shuffle_files(spark):
+    import time
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from rostra.llm.common import CLEANUP, cut
+
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    found = lambda: {f for d in env.blockManager().diskBlockManager().localDirsString() for f in Path(d).rglob("shuffle_*.data")}
+    before, was = found(), spark.conf.get(CLEANUP)
+    held = cut(spark.range(20000).groupBy((F.col("id") % 5000).alias("k")).count())
+    for _ in range(20):  # they go in the background
+        if not found() - before:
+            break
+        time.sleep(0.25)
+    assert not found() - before and spark.conf.get(CLEANUP) == was
+    assert held.count() == 5000
