@@ -59,15 +59,88 @@ def neighbours(speeches: DataFrame, chunks: DataFrame, reach: int = 3) -> DataFr
     return wanted.join(placed, ["session_id", "place"]).select("session_id", "speech_index", "nearest", "place", "chunk_id")
 
 
-def similar(queries: DataFrame, chunks: DataFrame, top: int = 5) -> DataFrame:
+#: The first look at a vector: so many words of two components each, in whole steps of a 63rd of its largest one. Words are
+#: doubles x + y * 2^18; the sum of 16 products of words keeps its three sums apart and is exact.
+_WORDS, _STEPS, _SHIFT = 32, 63, 2.0**18
+
+
+def _sketched(rows: DataFrame, vector: str, start: str, turned: bool) -> DataFrame:
+    """rows with the words of `vector` in its place (the two components change places where `turned`), and what bounds the rest.
+
+    unit: what a step is; norm: the length of what the words tell, or where `turned` of the whole; off: the length of what
+    they don't tell; size: negative, and all else 0, if the vector has nulls, NaN, infinities or lengths that can't be squared.
+    """
+    e = F.col(vector).cast("array<double>")
+    length = lambda x: F.sqrt(F.aggregate(x, F.lit(0.0), lambda s, y: s + y * y))
+    v = rows.withColumn("largest", F.greatest(F.array_max(e), -F.array_min(e)))
+    ordinary = (F.size(vector) == 0) | (F.col("largest") == 0) | F.col("largest").between(1e-100, 1e100)
+    v = v.withColumn("plain", F.coalesce(F.forall(vector, F.isnotnull) & ordinary, F.lit(False))).withColumn("e", F.when(F.col("plain"), e).otherwise(F.array().cast("array<double>")))
+    v = v.withColumn("unit", F.when(F.col("plain"), F.coalesce(F.col("largest") / _STEPS, F.lit(0.0))).otherwise(0.0)).withColumn("each", F.when(F.col("unit") > 0, F.try_divide(F.lit(1.0), F.col("unit"))).otherwise(0.0))
+    v = v.withColumn("k", F.transform(F.slice("e", 1, 2 * _WORDS), lambda x: F.rint(x * F.col("each"))))
+    rest = F.zip_with("e", "k", lambda x, k: x - F.coalesce(k, F.lit(0.0)) * F.col("unit"))
+    v = v.withColumn("whole", length(F.col("e"))).withColumn("off", length(rest) + F.col("whole") * 1e-9)
+    at = lambda i: F.coalesce(F.get("k", F.lit(i)), F.lit(0.0))
+    words = {f"w{j}": at(2 * j + turned) + at(2 * j + 1 - turned) * _SHIFT for j in range(_WORDS)}
+    norm = F.col("whole") if turned else F.col("whole") * (1 + 1e-9) + F.col("off")
+    size = F.when(F.col("plain"), F.size("e")).otherwise(-2 if turned else -1)
+    kept = {"size": size, "unit": F.coalesce("unit", F.lit(0.0)), "norm": F.coalesce(norm, F.lit(0.0)), "off": F.coalesce("off", F.lit(0.0))} | words
+    return v.select(*[c for c in rows.columns if c != vector], *[x.alias(start + n) for n, x in kept.items()])
+
+
+def _looked() -> tuple[Column, Column]:
+    """The dot product of what the words q_ and c_ tell, and how far that of the vectors can be from it."""
+    total = F.lit(0.0)
+    for j in range(0, _WORDS, 16):
+        s = F.lit(_SHIFT / 2)
+        for i in range(j, j + 16):
+            s = s + F.col(f"q_w{i}") * F.col(f"c_w{i}")
+        total = total + F.shiftright(F.shiftleft(s.cast("long"), 28), 46).cast("double")
+    return total * F.col("q_unit") * F.col("c_unit"), F.col("q_off") * F.col("c_norm") + F.col("q_norm") * F.col("c_off")
+
+
+def reaching(asked: DataFrame, held: DataFrame, top: int = 5, block: int = 1024) -> DataFrame:
+    """session_id, id, chunk of the pairs that can be among a query's `top`; asked has `id` and `embedding`, held `chunk` and `other`.
+
+    Some `block` chunks of a session tell a bar that `top` of them reach for sure, by a look at short words. Then every
+    pair is looked at: what can't reach the bar, or what `top` of those left reach for sure, goes. A session's queries
+    are dealt out in blocks.
+    """
+    key = ["session_id", "block"]
+    n = asked.groupBy("session_id").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    q = asked.join(n, "session_id").select("session_id", "id", "embedding", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+    q = _sketched(q, "embedding", "q_", False)
+    c = _sketched(held.join(n, "session_id").select("session_id", "chunk", "other", "blocks"), "other", "c_", True)
+    c = c.withColumn("group", F.pmod(F.xxhash64("chunk"), F.lit(2 * top)).cast("int")).withColumn("told", F.pmod(F.xxhash64("chunk", F.lit(1)), F.col("blocks")) == 0)
+    c = c.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    near, off = _looked()
+    least = c.where("told").join(q, key).where("id <> chunk and q_size = c_size").groupBy(*key, "id", "group").agg(F.max(near - off).alias("least"))
+    bar = least.groupBy(*key, "id").agg(F.get(F.sort_array(F.collect_list("least"), False), F.lit(top - 1)).alias("bar"))
+    barred = q.join(bar, [*key, "id"], "left").withColumn("bar", F.coalesce("bar", F.lit(float("-inf"))))
+    odd = (F.col("q_size") < 0) | (F.col("c_size") < 0)
+    reach = c.join(barred, key).where("id <> chunk").where(odd | (near + off >= F.col("bar")))
+    reach = reach.select(*key, "id", "chunk", odd.alias("odd"), (F.col("q_size") == F.col("c_size")).alias("alike"), near.alias("near"), off.alias("off"))
+    sure = F.when(F.col("alike"), F.col("near") - F.col("off"))
+    by = Window.partitionBy(*key, "id").orderBy(F.desc_nulls_last("sure")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = reach.withColumn("sure", sure).withColumn("last", F.nth_value("sure", top).over(by))
+    return last.where(F.col("odd") | F.col("last").isNull() | (F.col("near") + F.col("off") >= F.col("last"))).select("session_id", "id", "chunk").distinct()
+
+
+def similar(queries: DataFrame, chunks: DataFrame, top: int = 5, block: int = 1024) -> DataFrame:
     """C11: the chunks of the highest dot product in the query's session, other than itself; ties by id.
 
-    queries and chunks: session_id, id, embedding. Sessions bound the candidates.
+    queries and chunks: session_id, id, embedding. Sessions bound the candidates; only those that can be found are
+    scored. Of equal vectors only the first top + 1 ids can be.
     """
-    c = chunks.select("session_id", F.col("id").alias("chunk"), F.col("embedding").alias("other"))
-    scored = queries.join(c, "session_id").where("id <> chunk").withColumn("score", dot(F.col("embedding"), F.col("other")))
+    row = ["session_id", "id", "embedding"]
+    asked = queries.where("id is not null").groupBy(*row).agg(F.count("*").alias("q_times"))
+    held = chunks.where("id is not null").groupBy(*row).agg(F.count("*").alias("c_times"))
+    first = Window.partitionBy("session_id", "embedding").orderBy("id")
+    held = held.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= top + 1).select("session_id", F.col("id").alias("chunk"), F.col("embedding").alias("other"), "c_times")
+    found = reaching(asked, held, top, block).join(asked, ["session_id", "id"]).join(held, ["session_id", "chunk"])
+    scored = found.select("session_id", "id", "chunk", dot(F.col("embedding"), F.col("other")).alias("score"), F.least(F.col("q_times") * F.col("c_times"), F.lit(top)).cast("int").alias("times"))
     w = Window.partitionBy("session_id", "id").orderBy(F.desc("score"), "chunk")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).select("session_id", "id", "chunk", "score", "rank")
+    each = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return each.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top).select("session_id", "id", "chunk", "score", "rank")
 
 
 def evidence(speeches: DataFrame, chunks: DataFrame, top: int = 3) -> DataFrame:

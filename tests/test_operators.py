@@ -230,3 +230,23 @@ def test_classify_takes_the_architecture_of_the_model(spark):
     got = orchestration.classify(s, s.where("speech_index = 0"), "gpt", "openai", {"model": lambda: lambda ps: [answer for _ in ps]}).collect()
     assert {r.speech_index for r in got} == {1, 2} and {r.architecture for r in got} == {"one_pass"}
     assert next(r for r in got if r.speech_index == 1).topics == ["t"] and all(r.label == "constructive" for r in got)
+
+
+def test_similar_scores_what_can_be_found_and_nothing_else(spark):
+    # Nulls, NaN, infinities, a null and a zero vector, equal and nearly equal vectors, other lengths, repeated rows and ids.
+    rng = random.Random(7)
+    near = [rng.gauss(0, 1) for _ in range(70)]
+    rows = [("a", i, [rng.gauss(0, 1) for _ in range(70)]) for i in range(300)]
+    rows += [("a", 300 + i, [x + rng.gauss(0, 1e-6) for x in near]) for i in range(20)] + [("a", 320 + i, near) for i in range(20)]
+    rows += [("a", 340, [0.0] * 70), ("a", 341, None), ("a", 342, [float("nan")] * 70), ("a", 343, [float("inf")] + near[1:]), ("a", 344, [None, *near[1:]]), ("a", 345, near[:3]), ("a", 346, [1e300] * 70)]
+    rows += [rows[0], rows[0], ("a", 1, near), ("a", None, near), (None, 5, near), ("b", 1, [1.0]), ("b", 2, [2.0]), ("b", 3, None), ("c", 1, near)]
+    e = spark.createDataFrame(rows, "session_id string, id long, embedding array<double>").cache()
+    pairs = e.join(e.select("session_id", F.col("id").alias("chunk"), F.col("embedding").alias("other")), "session_id").where("id <> chunk")
+    pairs.select("session_id", "id", "chunk", chunks.dot(F.col("embedding"), F.col("other")).alias("score")).createOrReplaceTempView("pairs_of_vectors")
+    ranked = spark.sql("select *, row_number() over (partition by session_id, id order by score desc, chunk) as rank from pairs_of_vectors").where("rank <= 5")
+    text = lambda df: sorted(repr(tuple(r[c] for c in ("session_id", "id", "rank", "chunk", "score"))) for r in df.collect())
+    want = text(ranked)
+    assert text(chunks.similar(e, e, 5, 16)) == want and text(chunks.similar(e, e, 5)) == want
+    plain = e.where("session_id = 'a' and id < 300").select("session_id", "id", F.slice("embedding", 1, 64).alias("embedding")).distinct()
+    left = chunks.reaching(plain.where("id > 1"), plain.select("session_id", F.col("id").alias("chunk"), F.col("embedding").alias("other")), 5, 64)
+    assert 298 * 5 <= left.count() < 298 * 30  # of 298 * 300 pairs
