@@ -1,12 +1,37 @@
-"""Connected components of a link table, by alternating large and small stars."""
+"""Connected components of a link table, by alternating large and small stars; those of few links in one task."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostra.llm.common import cut, released
 
+#: At most so many links (16 bytes each) go to one task.
+FEW = 1 << 20
+
+
+def least_reached(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of links a[i], b[i] and for each the least node that links reach."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    one, other, least = at[: len(a)], at[len(a) :], np.arange(len(nodes))
+    while ((x := least[one]) != (y := least[other])).any():
+        np.minimum.at(least, np.maximum(x, y), np.minimum(x, y))
+        while ((up := least[least]) != least).any():
+            least = up
+    return nodes, nodes[least]
+
+
+def _solved(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Reads all links (a, b); gives node, component."""
+    held = [[x.to_numpy(zero_copy_only=False) for x in batch.columns] for batch in batches]
+    ends = [np.concatenate([np.empty(0, np.int64), *side]) for side in (zip(*held) if held else ((), ()))]
+    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in least_reached(*ends)], names=["node", "component"])
+
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Every node of links (a, b), a > b, hangs its higher neighbours under the least of its neighbours and itself.
@@ -25,13 +50,20 @@ def _small_star(links: DataFrame) -> DataFrame:
     return lower.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def connected_components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame, rounds: int = 60, few: int = FEW) -> DataFrame:
     """node, component (the least node of its component) for every node of links (a, b); longs, links in either direction.
 
-    Each round is written to the shared folder; only a count and a checksum come to the driver. Rounds grow
-    with the logarithm of the longest chain. Self-links and null ends are ignored.
+    Up to `few` links are solved in one task. Of more each round is written to the shared folder; only a count and
+    a checksum come to the driver. Rounds grow with the logarithm of the longest chain. Self-links and null ends
+    are ignored. What the driver keeps of every job, stage and task it has run makes rounds dear for small tables.
     """
-    links = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    links = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    if links.count() <= few:
+        found = cut(links.coalesce(1).mapInArrow(_solved, "node long, component long"))
+        released(links)
+        return found
+    old, links = links, cut(links.distinct())
+    released(old)
     sign = None
     for _ in range(rounds):
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

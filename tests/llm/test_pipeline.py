@@ -98,3 +98,21 @@ def test_a_cut_leaves_no_shuffle_files(spark):
         time.sleep(0.25)
     assert not found() - before and spark.conf.get(CLEANUP) == was
     assert held.count() == 5000
+
+
+def test_a_cut_leaves_no_list_of_files_with_the_driver(spark):
+    from rostra.llm.common import LISTS, cut
+
+    def held(x, name):
+        field = next(f for f in x.getClass().getDeclaredFields() if f.getName().endswith(name))
+        field.setAccessible(True)
+        return field.get(x)
+
+    def lists() -> int:
+        kind = spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.execution.datasources.FileStatusCache$")
+        shared = held(kind.getField("MODULE$").get(None), "sharedCache")
+        return held(shared, "$cache").size() if shared else 0
+
+    before, was = lists(), spark.conf.get(LISTS)
+    assert sum(cut(spark.range(100).repartition(4)).count() for _ in range(3)) == 300
+    assert lists() == before and spark.conf.get(LISTS) == was

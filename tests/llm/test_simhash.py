@@ -64,6 +64,26 @@ def test_components_of_a_long_chain(spark):
     assert all(got[i] == 0 for i in range(61)) and got[101] == 100
 
 
+def test_components_of_few_links_take_few_jobs(spark):
+    r, sc = random.Random(3), spark.sparkContext
+    rows = [(i, i + 1) for i in range(300)] + [(r.randrange(1000, 3000), r.randrange(-9, 3000)) for _ in range(900)] + [(7, 7), (None, 5), (5, None), (301, 300)]
+    links = spark.createDataFrame(rows, "a long, b long")
+    sc.setJobGroup("few links", "")
+    try:
+        found = connected_components(links)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(sc.statusTracker().getJobIdsForGroup("few links")) <= 5
+    got = sorted(map(tuple, found.collect()))
+    assert got == sorted(map(tuple, connected_components(links, few=0).collect()))
+    assert len({node for node, _ in got}) == len(got) and {c for n, c in got if 0 <= n <= 301} <= {0, min(c for n, c in got if n == 0)}
+
+
+def test_components_without_links(spark):
+    none = spark.createDataFrame([(4, 4), (None, 1)], "a long, b long")
+    assert connected_components(none).collect() == connected_components(none, few=0).collect() == []
+
+
 def test_groups_handle_nulls_repeats_and_other_columns(spark):
     rows = [(3, None, "a"), (1, "", "b"), (2, "same words here again and", "c"), (5, "same words here again and", "c"), (5, "same words here again and", "c"), (None, "alone in the world of text", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, fp string")
